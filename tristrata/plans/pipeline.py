@@ -1,0 +1,95 @@
+"""The whole load, layer by layer."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tristrata.operators.profile import TableCheck, check_table
+from tristrata.plans.bronze import ingest_all
+from tristrata.plans.gold import DERIVED_FACTS, DIMENSIONS, FACTS, build_gold
+from tristrata.plans.outcomes import Outcome, outcome_log
+from tristrata.plans.registry import RULES, Rule
+from tristrata.plans.reports import dimension_summary, fact_summary
+from tristrata.plans.silver import refine_all
+from tristrata.sources.tables import Layers, create_layers, write_table
+
+LOG_TABLE = "ingestion_log"
+# The tables whose quality is checked after a load, and how many of
+# their leading columns the cleansed check looks at.
+KEY_RAW_TABLES = ("sap_mara", "sap_ekko", "sap_ekpo", "ibp_demand_actual", "ibp_demand_forcast")
+KEY_CLEANSED_TABLES = ("mara", "ekko", "ekpo", "demand_actual", "demand_forecast")
+CHECKED_COLUMNS = 5
+
+
+@dataclass(frozen=True)
+class LoadResult:
+    bronze: list[Outcome]
+    silver: list[Outcome]
+    gold: list[Outcome]
+
+    @property
+    def ok(self) -> bool:
+        return all(o.ok for o in self.bronze + self.silver + self.gold)
+
+    @property
+    def failed(self) -> list[Outcome]:
+        return [o for o in self.bronze + self.silver + self.gold if not o.ok]
+
+
+def run(
+    spark: SparkSession,
+    folders: Mapping[str, str],
+    rules: Iterable[Rule] = RULES,
+    layers: Layers = Layers(),
+    orders: Mapping[str, Sequence[str]] = {},
+    infer: bool = False,
+    parallel: int = 4,
+    as_of: datetime | None = None,
+) -> LoadResult:
+    """Load extracts into all three layers. A table that fails is reported in the
+    result and leaves the others alone."""
+    rules = tuple(rules)
+    create_layers(spark, layers)
+    bronze = ingest_all(spark, folders, rules, layers, parallel, infer=infer, as_of=as_of)
+    write_table(outcome_log(spark, bronze), f"{layers.bronze}.{LOG_TABLE}")
+    silver = refine_all(spark, rules, layers, orders, parallel, as_of)
+    gold = build_gold(spark, layers, parallel, as_of)
+    return LoadResult(bronze, silver, gold)
+
+
+def check_raw(
+    spark: SparkSession, tables: Iterable[str] = KEY_RAW_TABLES, layers: Layers = Layers()
+) -> dict[str, TableCheck | Exception]:
+    return _checks(spark, layers.bronze, tables, None)
+
+
+def check_cleansed(
+    spark: SparkSession, tables: Iterable[str] = KEY_CLEANSED_TABLES, layers: Layers = Layers()
+) -> dict[str, TableCheck | Exception]:
+    return _checks(spark, layers.silver, tables, CHECKED_COLUMNS)
+
+
+def _checks(spark, database, tables, first) -> dict[str, TableCheck | Exception]:
+    found: dict[str, TableCheck | Exception] = {}
+    for name in tables:
+        try:
+            found[name] = check_table(spark.table(f"{database}.{name}"), first)
+        except Exception as error:  # noqa: BLE001 - the entry is the report
+            found[name] = error
+    return found
+
+
+def summarize_dimensions(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:
+    return dimension_summary(spark, _sources(spark, layers, DIMENSIONS))
+
+
+def summarize_facts(spark: SparkSession, layers: Layers = Layers()) -> DataFrame:
+    return fact_summary(spark, _sources(spark, layers, FACTS | DERIVED_FACTS))
+
+
+def _sources(spark, layers, names):
+    return {n: lambda n=n: spark.table(f"{layers.gold}.{n}") for n in names}
