@@ -1,4 +1,5 @@
-"""Load time as a column, with an optional fixed time for repeatable runs."""
+"""Load time as a column, with an optional fixed time (in the session's time zone)
+for repeatable runs."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def now(as_of: datetime | None = None) -> Column:
-    return F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    return F.current_timestamp() if as_of is None else F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
 
 
 def today(as_of: datetime | None = None) -> Column:

@@ -40,24 +40,25 @@ def attach(
     for k in keys:
         if left.schema[k].dataType != right.schema[k].dataType:
             raise ValueError(f"{k} is {left.schema[k].dataType} on one side only")
-    spark = left.sparkSession
-    limit = _bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    limit = policy.broadcast_bytes
+    if limit is None:
+        limit = _bytes(left.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     right_size = estimated_bytes(right)
     if right_size <= limit:
         return left.join(right, keys, how)
 
+    counted = left if keys_from is None else keys_from
     fans: dict[tuple, list[int]] = {}
     for place, side, size in (
-        (0, keys_from or left, None),
+        (0, counted, estimated_bytes(counted)),
         (1, right, right_size),
     ):
-        size = estimated_bytes(side) if size is None else size
         if size >= policy.min_bytes:
             for key, fan in hot_keys(side, keys, policy).items():
                 fans.setdefault(key, [1, 1])[place] = fan
     if not fans:
         return left.join(right, keys, how)
-    return _spread_join(left, right, keys, how, fans, policy)
+    return _spread_join(left, right, keys, how, fans)
 
 
 def _bytes(setting: str) -> int:
@@ -73,7 +74,6 @@ def _spread_join(
     keys: list[str],
     how: str,
     fans: dict[tuple, list[int]],
-    policy: SkewPolicy,
 ) -> DataFrame:
     schema = StructType(
         [StructField(k, left.schema[k].dataType) for k in keys]

@@ -19,10 +19,12 @@ class SkewPolicy:
     A key is hot when it holds more than ``rows_per_task`` rows and more than
     ``hot_share`` of its side, so a side has at most ``1 / hot_share`` hot keys.
     Keys below that are left to adaptive skew handling. Sides that Spark
-    estimates below ``min_bytes`` are joined as they are.
+    estimates below ``min_bytes`` are joined as they are, and so is a right side
+    within ``broadcast_bytes`` (default: Spark's own broadcast limit).
     """
 
     min_bytes: int = 8 << 30
+    broadcast_bytes: int | None = None
     rows_per_task: int = 5_000_000
     hot_share: float = 0.001
     buckets: int = 1 << 16
@@ -30,7 +32,7 @@ class SkewPolicy:
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate; plans only, no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> dict[tuple, int]:

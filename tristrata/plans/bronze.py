@@ -49,6 +49,7 @@ def ingest_all(
 ) -> list[Outcome]:
     """Load every extract; ``folders`` gives the folder of each source system."""
     return attempt_all(
+        spark,
         {
             (r.extract, r.system): lambda r=r: ingest(spark, folders[r.system], r, layers, **options)
             for r in rules

@@ -73,6 +73,7 @@ def build_gold(
         (DERIVED_FACTS, layers.gold),
     ):
         outcomes += attempt_all(
+            spark,
             {
                 (name, SYSTEM): lambda n=name, b=build, s=sources, d=database: _load(
                     spark, n, b, s, d, layers, as_of

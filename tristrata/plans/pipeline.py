@@ -49,11 +49,12 @@ def run(
     infer: bool = False,
     parallel: int = 4,
     as_of: datetime | None = None,
+    location: str | None = None,
 ) -> LoadResult:
     """Load extracts into all three layers. A table that fails is reported in the
     result and leaves the others alone."""
     rules = tuple(rules)
-    create_layers(spark, layers)
+    create_layers(spark, layers, location)
     bronze = ingest_all(spark, folders, rules, layers, parallel, infer=infer, as_of=as_of)
     write_table(outcome_log(spark, bronze), f"{layers.bronze}.{LOG_TABLE}")
     silver = refine_all(spark, rules, layers, orders, parallel, as_of)

@@ -38,6 +38,7 @@ def refine_all(
     """Cleanse every raw table; ``orders`` says by cleansed table which record of a
     key is the latest, where that is not its first column."""
     return attempt_all(
+        spark,
         {
             (r.table, r.system): lambda r=r: refine(spark, r, layers, orders.get(r.table), as_of)
             for r in rules

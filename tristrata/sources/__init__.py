@@ -2,7 +2,7 @@
 
 from tristrata.sources.csv import read_csv
 from tristrata.sources.sheets import mapping_sheet, read_mapping_sheet
-from tristrata.sources.tables import Layers, create_layers, drop_table, write_table
+from tristrata.sources.tables import Layers, create_layers, drop_table, use_layer, write_table
 
 __all__ = [
     "Layers",
@@ -11,5 +11,6 @@ __all__ = [
     "mapping_sheet",
     "read_csv",
     "read_mapping_sheet",
+    "use_layer",
     "write_table",
 ]

@@ -27,14 +27,21 @@ class Layers:
         }
 
 
-def create_layers(spark: SparkSession, layers: Layers = Layers()) -> list[str]:
-    """Create the layer databases, make the raw one current, list all databases."""
+def create_layers(
+    spark: SparkSession, layers: Layers = Layers(), location: str | None = None
+) -> list[str]:
+    """Create the layer databases, below ``location`` where given, and list all databases."""
     for name, comment in layers.comments().items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` COMMENT '{comment}'")
-    spark.catalog.setCurrentDatabase(layers.bronze)
+        place = f" LOCATION '{location.rstrip('/')}/{name}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` COMMENT '{comment}'{place}")
     return [d.name for d in spark.catalog.listDatabases()]
 
 
+def use_layer(spark: SparkSession, name: str) -> None:
+    """Make a layer the one that unqualified table names refer to."""
+    spark.catalog.setCurrentDatabase(name)
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
