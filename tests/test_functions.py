@@ -113,3 +113,9 @@ def test_calendar_edges(spark):
         (13, 7, True, 2023, "Q4", 12),
         (14, 1, False, 2024, "Q1", 1),
     ]
+
+
+def test_month_end_of_texts(spark):
+    df = spark.createDataFrame([("2024", "02"), ("24", "2"), ("x", "1")], "y string, p string")
+    got = [r[0] for r in df.select(month_end(F.col("y"), F.col("p"))).collect()]
+    assert got == [date(2024, 2, 29), None, None]

@@ -94,3 +94,15 @@ def test_mapping_sheet_names_absent_columns(spark):
     df = spark.createDataFrame([("202401",)], ["month"])
     with pytest.raises(ValueError, match="Product_Id"):
         apply_mapping(df, mapping_sheet(spark, SHEET), "demand")
+
+
+@pytest.mark.parametrize(
+    "text, number",
+    [("12", "12.00"), (" 12.5\t", "12.50"), ("+1e2", "100.00"), (".5", "0.50"), ("-3.", "-3.00"),
+     ("1,5", None), ("x", None), ("E", None), ("", None), (None, None), ("1e99", None)],
+)
+def test_numbers_in_text(spark, text, number):
+    df = spark.createDataFrame([(text,)], "t string")
+    got = project(df, fields("T n decimal(15,2)")).first().n
+    assert (None if got is None else str(got)) == number
+    assert got == df.select(df.t.try_cast("decimal(15,2)")).first()[0]

@@ -46,7 +46,7 @@ def keep_latest(
         c if isinstance(c, Column) else quoted(c).desc_nulls_last()
         for c in (order_by or df.columns[:1])
     ]
-    settled = {k.lower() for k in keys}
+    settled = {k.lower() for k in (*keys, *_plain_names(order_by or df.columns[:1]))}
     rest = [quoted(c).desc_nulls_last() for c in df.columns if c.lower() not in settled]
     window = Window.partitionBy([quoted(k) for k in keys]).orderBy(*lead, *rest)
     return (
@@ -54,6 +54,10 @@ def keep_latest(
     )
 
 
+def _plain_names(order_by: Sequence[str | Column]) -> list[str]:
+    return [c for c in order_by if isinstance(c, str)]
+
+
 def cleanse(
     df: DataFrame,
     keys: Sequence[str] = (),

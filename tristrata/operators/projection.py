@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tristrata.functions.text import quoted
 from tristrata.operators.schema import find_column
 
 AS_READ = "-"
+EXACT_NUMBERS = ("decimal", "int", "bigint")
+# Every text that Spark reads as an exact number is made of these characters.
+_NUMBER_TEXT = r"^[\x00-\x20\x7f-\x9f0-9.eE+-]+$"
 
 
 class Field(NamedTuple):
@@ -28,12 +32,20 @@ def fields(table: str) -> tuple[Field, ...]:
 
 def project(df: DataFrame, layout: Sequence[Field]) -> DataFrame:
     """Pick, rename and type columns. A value that does not fit its type is NULL."""
-    return df.select(
-        [
-            (quoted(f.source) if f.type == AS_READ else quoted(f.source).try_cast(f.type)).alias(f.name)
-            for f in layout
-        ]
-    )
+    return df.select([_typed(df, f).alias(f.name) for f in layout])
+
+
+def _typed(df: DataFrame, field: Field) -> Column:
+    value = quoted(field.source)
+    if field.type == AS_READ:
+        return value
+    typed = value.try_cast(field.type)
+    source = find_column(df, field.source)
+    is_text = source is not None and isinstance(df.schema[source].dataType, StringType)
+    if is_text and field.type.startswith(EXACT_NUMBERS):
+        # A failed cast is slow, so plain junk does not get that far.
+        return F.when(value.rlike(_NUMBER_TEXT), typed)
+    return typed
 
 
 def apply_mapping(df: DataFrame, sheet: DataFrame, source_table: str) -> DataFrame:
