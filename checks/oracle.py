@@ -385,3 +385,30 @@ ORACLE: dict[str, str] = {
         [("fact_inventory", INVENTORY, 20, 13), ("fact_purchase_order", PURCHASE, 36, 8)],
     ),
 }
+
+# Rows of every table of the whole load. Currencies there come from supplier organisations.
+_CURRENCIES = f"{ctes('lfm1')} SELECT DISTINCT WAERS FROM lfm1 WHERE WAERS IS NOT NULL"
+_CALENDAR_DAYS = "SELECT unnest(generate_series(DATE '2020-01-01', DATE '2030-12-31', INTERVAL 1 DAY))"
+_LOADED = {
+    "dim_currency": _CURRENCIES,
+    "dim_date": _CALENDAR_DAYS,
+    **{
+        f"dim_{n}": ORACLE[f"dim_{n}"]
+        for n in (
+            "product", "batch", "storage", "supplier", "uom", "customer", "customer_product",
+            "location", "location_product",
+        )
+    },
+    "fact_inventory": ORACLE["fact_inventory"],
+    "fact_inventory_month_end_stock": ORACLE["fact_month_end"],
+    "fact_inventory_monthly_snapshot": ORACLE["fact_monthly_snapshot"],
+    "fact_purchase_order": ORACLE["po_fact"],
+    "fact_demand_actual": ORACLE["fact_demand_actual"],
+    "fact_demand_forecast": ORACLE["fact_demand_forecast"],
+    "fact_batch_release_external": ORACLE["batch_external"],
+    "fact_batch_release_internal": ORACLE["batch_internal"],
+}
+ORACLE["gold_run"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, 'SUCCESS' AS status, count(*) AS record_count FROM ({sql}) x"
+    for name, sql in _LOADED.items()
+)

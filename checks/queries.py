@@ -40,11 +40,12 @@ from tristrata.operators import (
 )
 from tristrata.plans import dimensions, facts
 from tristrata.plans.bronze import ingest_all, raw_frame
-from tristrata.plans.outcomes import outcome_log, sorted_log, summarize_log
+from tristrata.plans.gold import DIMENSIONS, FACTS, build_gold
+from tristrata.plans.outcomes import attempt_all, outcome_log, sorted_log, summarize_log
 from tristrata.plans.registry import Rule
 from tristrata.plans.reports import dimension_summary, fact_summary
 from tristrata.plans.silver import refine_all
-from tristrata.sources import Layers, create_layers, mapping_sheet, read_csv
+from tristrata.sources import Layers, create_layers, mapping_sheet, read_csv, write_table
 
 AS_OF = datetime(2024, 1, 1)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -419,6 +420,25 @@ def batch_internal(spark: SparkSession, folder: str) -> DataFrame:
     return untimed(facts.batch_release_internal(*bind(spark, folder, "qals", "qave")))
 
 
+@query
+def gold_run(spark: SparkSession, folder: str) -> DataFrame:
+    """All dimensions and facts through storage: rows per table."""
+    layers = _layers(spark, shared_folder(spark))
+    needed = " ".join(tables for _, tables in (DIMENSIONS | FACTS).values()).split()
+    names = sorted(set(needed) - {"ekpo"})
+    silver = dict(zip(names, bind(spark, folder, *names)))
+    silver["ekpo"] = keep_latest(*bind(spark, folder, "ekpo_raw"), ["EBELN", "EBELP"], ["MATNR"])
+    attempt_all(
+        spark,
+        {
+            (n, "silver"): lambda n=n, df=df: write_table(df, f"{layers.silver}.{n}")
+            for n, df in silver.items()
+        },
+    )
+    outcomes = build_gold(spark, layers, as_of=AS_OF)
+    return outcome_log(spark, outcomes).select("table_name", "status", "record_count")
+
+
 def _spread(rows: int) -> SkewPolicy:
     """Spread every key that holds more than a 256th of the rows."""
     return SkewPolicy(min_bytes=0, broadcast_bytes=0, rows_per_task=max(20, rows // 256))
