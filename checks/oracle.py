@@ -300,8 +300,9 @@ ORACLE: dict[str, str] = {
     "dim_batch": f"""{ctes("mch1")} SELECT MATNR AS material_number, CHARG AS batch_number,
         ERSDA AS created_date, HSDAT AS production_date, VFDAT AS expiry_date,
         LAEDA AS last_change_date, {key("MATNR", "CHARG")} AS dim_batch_key, {VALIDITY} FROM mch1""",
-    "dim_currency": f"""{ctes("segments")} SELECT DISTINCT WAERS AS currency_code,
-        {key("WAERS")} AS dim_currency_key, {VALIDITY} FROM segments WHERE WAERS IS NOT NULL""",
+    "dim_currency": f"""{ctes("segments", "lfm1")} SELECT DISTINCT WAERS AS currency_code,
+        {key("WAERS")} AS dim_currency_key, {VALIDITY}
+        FROM (SELECT WAERS FROM segments UNION ALL SELECT WAERS FROM lfm1) WHERE WAERS IS NOT NULL""",
     "dim_date": f"""SELECT {calendar("d")} FROM (SELECT CAST(unnest(generate_series(
         min(CAST(o_orderdate AS DATE)), max(CAST(o_orderdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d
         FROM orders)""",
@@ -386,8 +387,9 @@ ORACLE: dict[str, str] = {
     ),
 }
 
-# Rows of every table of the whole load. Currencies there come from supplier organisations.
-_CURRENCIES = f"{ctes('lfm1')} SELECT DISTINCT WAERS FROM lfm1 WHERE WAERS IS NOT NULL"
+# Rows of every table of the whole load, with the currencies of all its sources.
+_CURRENCIES = f"""{ctes('lfm1', 'ekko')} SELECT WAERS FROM lfm1 WHERE WAERS IS NOT NULL
+    UNION SELECT WAERS FROM ekko WHERE WAERS IS NOT NULL"""
 _CALENDAR_DAYS = "SELECT unnest(generate_series(DATE '2020-01-01', DATE '2030-12-31', INTERVAL 1 DAY))"
 _LOADED = {
     "dim_currency": _CURRENCIES,

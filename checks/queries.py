@@ -306,7 +306,7 @@ def dim_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dim_currency(spark: SparkSession, folder: str) -> DataFrame:
-    return untimed(dimensions.currency(*bind(spark, folder, "segments"), as_of=AS_OF))
+    return untimed(dimensions.currency(*bind(spark, folder, "segments", "lfm1"), as_of=AS_OF))
 
 
 @query

@@ -23,16 +23,16 @@ class SkewPolicy:
     within ``broadcast_bytes`` (default: Spark's own broadcast limit).
     """
 
-    min_bytes: int = 8 << 30
+    min_bytes: int = 1 << 30
     broadcast_bytes: int | None = None
-    rows_per_task: int = 5_000_000
+    rows_per_task: int = 2_000_000
     hot_share: float = 0.001
     buckets: int = 1 << 16
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; plans only, no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Spark's size estimate before any pruning, so rather too high; runs no job."""
+    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> dict[tuple, int]:

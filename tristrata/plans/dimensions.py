@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,10 +141,13 @@ def batch(batches: DataFrame, as_of: datetime | None = None) -> DataFrame:
     )
 
 
-def currency(supplier_orgs: DataFrame, as_of: datetime | None = None) -> DataFrame:
-    """The distinct order currencies."""
-    codes = distinct_values(supplier_orgs, "WAERS", "currency_code")
-    return as_dimension(codes, "dim_currency", ["currency_code"], as_of)
+def currency(*sources: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """The distinct currencies of the given tables, such as supplier organisations
+    and order headers."""
+    codes = reduce(DataFrame.unionAll, [s.select("WAERS") for s in sources])
+    return as_dimension(
+        distinct_values(codes, "WAERS", "currency_code"), "dim_currency", ["currency_code"], as_of
+    )
 
 
 def dates(

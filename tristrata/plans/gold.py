@@ -18,7 +18,7 @@ Builder = Callable[..., DataFrame]
 DIMENSIONS: dict[str, tuple[Builder, str]] = {
     "dim_product": (dimensions.product, "mara makt"),
     "dim_batch": (dimensions.batch, "mch1"),
-    "dim_currency": (dimensions.currency, "lfm1"),
+    "dim_currency": (dimensions.currency, "lfm1 ekko"),
     "dim_date": (dimensions.dates, ""),
     "dim_storage": (dimensions.storage, "t001w t001l"),
     "dim_supplier": (dimensions.supplier, "lfa1 lfm1 lfb1"),
