@@ -59,6 +59,14 @@ def test_share_bounds_the_number_of_hot_keys(spark):
     assert hot_keys(df, ["k"], SkewPolicy(rows_per_task=10, hot_share=0.06)) == {}
 
 
+def test_unique_right_side(spark):
+    lf = spark.createDataFrame(LEFT_HOT, "k string, v int")
+    groups = spark.createDataFrame(FEW, "k string, w int").groupBy("k").agg({"w": "max"}).toDF("k", "w")
+    out = attach(lf, groups, ["k"], policy=FORCED, unique=True)
+    wanted = brute(LEFT_HOT, [tuple(r) for r in groups.collect()], "left")
+    assert sorted(map(tuple, out.collect()), key=str) == wanted
+
+
 def test_small_sides_are_not_counted(spark, monkeypatch):
     def fail(*_):
         raise AssertionError("counted")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from erp import write_extracts
 from tristrata.operators import TableCheck
-from tristrata.plans import pipeline
+from tristrata.plans import load
 from tristrata.plans.bronze import ingest_all
 from tristrata.plans.outcomes import outcome_log, sorted_log, summarize_log
 from tristrata.plans.registry import RULES, Rule
@@ -20,7 +20,7 @@ LAYERS = Layers("t_bronze", "t_silver", "t_gold")
 def loaded(spark, tmp_path_factory):
     folders = write_extracts(tmp_path_factory.mktemp("extracts"))
     place = str(tmp_path_factory.mktemp("layers"))
-    return pipeline.run(spark, folders, layers=LAYERS, as_of=AS_OF, location=place)
+    return load.run(spark, folders, layers=LAYERS, as_of=AS_OF, location=place)
 
 
 @pytest.fixture
@@ -67,7 +67,7 @@ def test_cleansed_table(spark, loaded):
 
 
 def test_ingestion_log(spark, loaded):
-    log = spark.table(f"{LAYERS.bronze}.{pipeline.LOG_TABLE}")
+    log = spark.table(f"{LAYERS.bronze}.{load.LOG_TABLE}")
     got = {(r.source_system, r.status): r.table_count for r in summarize_log(log).collect()}
     assert got == {("SAP", "SUCCESS"): 37, ("IBP", "SUCCESS"): 6}
     names = [r.table_name for r in sorted_log(log).collect()]
@@ -197,29 +197,29 @@ def test_batch_release_facts(gold, rows):
 
 
 def test_summaries(spark, loaded):
-    dims = {r.dimension: r for r in pipeline.summarize_dimensions(spark, LAYERS).collect()}
+    dims = {r.dimension: r for r in load.summarize_dimensions(spark, LAYERS).collect()}
     assert len(dims) == 11 and all(r.status == "SUCCESS" for r in dims.values())
     assert (dims["dim_date"].record_count, dims["dim_date"].column_count) == (4018, 17)
-    facts = {r.fact_table: r for r in pipeline.summarize_facts(spark, LAYERS).collect()}
+    facts = {r.fact_table: r for r in load.summarize_facts(spark, LAYERS).collect()}
     assert len(facts) == 8
     assert (facts["fact_inventory"].record_count, facts["fact_inventory"].measure_count) == (4, 13)
 
 
 def test_summary_reports_what_is_missing(spark, loaded):
-    rows = pipeline.summarize_facts(spark, Layers(gold="nowhere")).collect()
+    rows = load.summarize_facts(spark, Layers(gold="nowhere")).collect()
     assert all(r.status.startswith("FAILED: ") and r.record_count == 0 for r in rows)
 
 
 def test_quality_checks(spark, loaded):
-    raw = pipeline.check_raw(spark, layers=LAYERS)
-    assert set(raw) == set(pipeline.KEY_RAW_TABLES)
+    raw = load.check_raw(spark, layers=LAYERS)
+    assert set(raw) == set(load.KEY_RAW_TABLES)
     mara = raw["sap_mara"]
     assert isinstance(mara, TableCheck) and (mara.rows, mara.columns) == (3, 13)
     assert mara.nulls["PSTAT"] == 3 and "_source_file" not in mara.nulls
     assert mara.sample.count() == 3 and mara.sample.columns[0] == "MATNR"
-    clean = pipeline.check_cleansed(spark, layers=LAYERS)
+    clean = load.check_cleansed(spark, layers=LAYERS)
     assert clean["mara"].nulls == {"MATNR": 0, "MTART": 0, "MATKL": 0, "MEINS": 1, "VPSTA": 1}
-    assert isinstance(pipeline.check_raw(spark, ["absent"], LAYERS)["absent"], Exception)
+    assert isinstance(load.check_raw(spark, ["absent"], LAYERS)["absent"], Exception)
 
 
 def test_one_bad_table_does_not_stop_the_rest(spark, tmp_path):
@@ -238,7 +238,7 @@ def test_one_bad_table_does_not_stop_the_rest(spark, tmp_path):
 
 def test_load_result_says_when_something_failed(spark, tmp_path):
     layers = Layers("g_bronze", "g_silver", "g_gold")
-    result = pipeline.run(
+    result = load.run(
         spark, {"SAP": str(tmp_path)}, [Rule("SAP", "MISSING", "missing")], layers,
         location=str(tmp_path / "layers"),
     )

@@ -22,6 +22,7 @@ def attach(
     how: str = "left",
     policy: SkewPolicy = SkewPolicy(),
     keys_from: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Join ``right`` to ``left`` on equally named keys; ``how`` is left or inner.
 
@@ -33,6 +34,8 @@ def attach(
 
     ``keys_from`` names a frame that has the left side's keys in the same
     proportions but is cheaper to count, such as the base table of a join chain.
+    ``unique`` says that the right side has one row per key, being grouped by it, and
+    needs no counting.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"cannot attach with a {how} join")
@@ -43,17 +46,13 @@ def attach(
     limit = policy.broadcast_bytes
     if limit is None:
         limit = _bytes(left.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    right_size = estimated_bytes(right)
-    if right_size <= limit:
+    if estimated_bytes(right) <= limit:
         return left.join(right, keys, how)
 
     counted = left if keys_from is None else keys_from
     fans: dict[tuple, list[int]] = {}
-    for place, side, size in (
-        (0, counted, estimated_bytes(counted)),
-        (1, right, right_size),
-    ):
-        if size >= policy.min_bytes:
+    for place, side in enumerate([counted] if unique else [counted, right]):
+        if estimated_bytes(side) >= policy.min_bytes:
             for key, fan in hot_keys(side, keys, policy).items():
                 fans.setdefault(key, [1, 1])[place] = fan
     if not fans:

@@ -62,4 +62,4 @@ def attach_key(
     known = dimension.select(
         [quoted(d).alias(f) for f, d in keys.items()] + [quoted(key)]
     ).distinct()
-    return attach(fact, known, list(keys), policy=policy).select(*fact.columns, key)
+    return attach(fact, known, list(keys), policy=policy, unique=True).select(*fact.columns, key)

@@ -344,7 +344,9 @@ def purchase_order(
         placed = attach(placed, project(side, layout), [key], policy=policy, keys_from=item)
 
     lines = attach(placed, named, ["purchase_order"], "inner", policy, keys_from=item)
-    lines = attach(lines, delivered(history), ITEM_KEYS, policy=policy, keys_from=item)
+    lines = attach(
+        lines, delivered(history), ITEM_KEYS, policy=policy, keys_from=item, unique=True
+    )
     lines = attach(
         lines, project(schedule, SCHEDULE_LINE), ITEM_KEYS, policy=policy, keys_from=item
     )
