@@ -2,7 +2,7 @@ from itertools import product
 
 import pytest
 
-from tristrata.operators import SkewPolicy, attach, attach_key, as_dimension, hot_keys
+from tristrata.operators import SkewPolicy, attach, as_dimension, attach_key, dimension_keys, hot_keys
 from tristrata.operators.joins import _bytes
 
 FORCED = SkewPolicy(min_bytes=0, broadcast_bytes=0, rows_per_task=10, hot_share=0.01, buckets=16)
@@ -107,8 +107,10 @@ def test_attach_key_keeps_the_grain(spark):
         "dim_supplier", ["supplier", "org"],
     )
     fact = spark.createDataFrame([(1, "s1", "o1"), (2, "s2", None), (3, "s9", "o1")], "n int, s string, o string")
-    out = attach_key(fact, dim, "dim_supplier", {"s": "supplier", "o": "org"})
+    out = attach_key(fact, dim, "dim_supplier", {"S": "supplier", "o": "org"})
     assert out.columns == ["n", "s", "o", "dim_supplier_key"]
+    keys = dimension_keys(dim, "dim_supplier", {"s": "supplier", "o": "org"})
+    assert keys.columns == ["s", "o", "dim_supplier_key"] and keys.count() == 2
     got = {r.n: r.dim_supplier_key for r in out.collect()}
     known = {(r.supplier, r.org): r.dim_supplier_key for r in dim.collect()}
     assert got == {1: known["s1", "o1"], 2: None, 3: None}

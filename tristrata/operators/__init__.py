@@ -14,7 +14,14 @@ from tristrata.operators.schema import (
 )
 from tristrata.operators.skew import SkewPolicy, hot_keys
 from tristrata.operators.stamps import stamp_cleansed, stamp_fact, stamp_raw, stamp_validity
-from tristrata.operators.star import as_dimension, as_fact, attach_key, calendar, distinct_values
+from tristrata.operators.star import (
+    as_dimension,
+    as_fact,
+    attach_key,
+    calendar,
+    dimension_keys,
+    distinct_values,
+)
 
 __all__ = [
     "Field",
@@ -33,6 +40,7 @@ __all__ = [
     "cleanse",
     "columns_of_type",
     "data_columns",
+    "dimension_keys",
     "distinct_values",
     "fields",
     "hot_keys",

@@ -13,6 +13,7 @@ from tristrata.functions.clock import now
 from tristrata.functions.keys import surrogate_key
 from tristrata.functions.text import quoted
 from tristrata.operators.joins import attach
+from tristrata.operators.schema import find_column
 from tristrata.operators.skew import SkewPolicy
 from tristrata.operators.stamps import stamp_fact, stamp_validity
 
@@ -45,6 +46,14 @@ def calendar(
     )
 
 
+def dimension_keys(dimension: DataFrame, name: str, keys: Mapping[str, str]) -> DataFrame:
+    """A dimension's business keys under their fact names (fact column -> dimension
+    column) with its hashed key, one row each: rows that share the business key share
+    the hashed key too."""
+    named = [quoted(d).alias(f) for f, d in keys.items()]
+    return dimension.select(*named, quoted(f"{name}_key")).distinct()
+
+
 def attach_key(
     fact: DataFrame,
     dimension: DataFrame,
@@ -54,12 +63,10 @@ def attach_key(
 ) -> DataFrame:
     """Look up a dimension's key by business keys (fact column -> dimension column).
 
-    A dimension may hold several rows per business key; they share one hashed key,
-    so they are reduced to one first and the fact keeps its grain. Facts without
-    a dimension row, or with a missing business key, get NULL.
+    The fact keeps its grain and its rows. Those without a dimension row, or with a
+    missing business key, get NULL.
     """
-    key = f"{name}_key"
-    known = dimension.select(
-        [quoted(d).alias(f) for f, d in keys.items()] + [quoted(key)]
-    ).distinct()
-    return attach(fact, known, list(keys), policy=policy, unique=True).select(*fact.columns, key)
+    found = {find_column(fact, f) or f: d for f, d in keys.items()}
+    known = dimension_keys(dimension, name, found)
+    out = attach(fact, known, list(found), policy=policy, unique=True)
+    return out.select(*[quoted(c) for c in fact.columns], quoted(f"{name}_key"))
