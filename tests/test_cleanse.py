@@ -1,6 +1,8 @@
 from datetime import date, datetime
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tristrata.operators import blanks_to_null, cleanse, keep_latest, parse_dates
@@ -88,3 +90,28 @@ def test_cleanse_end_to_end(spark):
     got = {r.key: (r.day, r.x, r._silver_load_timestamp, r._silver_load_date) for r in out.collect()}
     stamps = (AS_OF, AS_OF.date())
     assert got == {"a": (date(2024, 2, 1), None, *stamps), "b": (None, "2", *stamps)}
+
+
+records = st.lists(
+    st.tuples(
+        st.sampled_from(["a", "b", None]),
+        st.one_of(st.none(), st.integers(0, 3)),
+        st.sampled_from(["x", "y", None]),
+    ),
+    max_size=30,
+)
+
+
+@settings(max_examples=8, deadline=None)
+@given(data=records)
+def test_keep_latest_equals_brute_force(spark, data):
+    def rank(row):
+        return [(v is not None, v) if v is not None else (False, 0) for v in (row[1], str(row[2] or ""))]
+
+    best = {}
+    for row in data:
+        if row[0] not in best or rank(row) > rank(best[row[0]]):
+            best[row[0]] = row
+    df = spark.createDataFrame(data, "key string, v int, w string").repartition(3)
+    got = keep_latest(df, ["key"], ["v"]).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(best.values(), key=str)

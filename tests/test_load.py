@@ -20,7 +20,10 @@ LAYERS = Layers("t_bronze", "t_silver", "t_gold")
 def loaded(spark, tmp_path_factory):
     folders = write_extracts(tmp_path_factory.mktemp("extracts"))
     place = str(tmp_path_factory.mktemp("layers"))
-    return load.run(spark, folders, layers=LAYERS, as_of=AS_OF, location=place)
+    split = {"fact_inventory_month_end_stock": ["fiscal_year"]}
+    return load.run(
+        spark, folders, layers=LAYERS, as_of=AS_OF, location=place, partitions=split
+    )
 
 
 @pytest.fixture
@@ -134,6 +137,9 @@ def test_month_end_and_snapshot(gold, rows):
         ("B1", 2, date(2024, 2, 29), D("6.00000")),
         ("B2", 2, date(2024, 2, 29), D("4.00000")),
     ]
+    assert "PartitionFilters: [isnotnull(fiscal_year" in (
+        stock.where("fiscal_year = 2024")._jdf.queryExecution().executedPlan().toString()
+    )
     snapshot = gold("fact_inventory_monthly_snapshot")
     assert rows(
         snapshot, "fiscal_period", "total_inventory_qty", "total_inventory_value", "avg_price",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,10 +54,13 @@ def _load(
     database: str,
     layers: Layers,
     as_of: datetime | None,
+    partition_by: Sequence[str],
 ) -> int:
     frames = [spark.table(f"{database}.{s}") for s in sources.split()]
     frame = build(*(frames or [spark]), as_of=as_of)
-    return write_table(frame, f"{layers.gold}.{name}", replace=name in (FACTS | DERIVED_FACTS))
+    return write_table(
+        frame, f"{layers.gold}.{name}", partition_by, replace=name in (FACTS | DERIVED_FACTS)
+    )
 
 
 def build_gold(
@@ -65,8 +68,10 @@ def build_gold(
     layers: Layers = Layers(),
     parallel: int = 4,
     as_of: datetime | None = None,
+    partitions: Mapping[str, Sequence[str]] = {},
 ) -> list[Outcome]:
-    """Build every dimension and fact."""
+    """Build every dimension and fact; ``partitions`` names the columns that a table's
+    files are split by, such as the fiscal year of month-end stock."""
     outcomes = []
     for tables, database in (
         (DIMENSIONS | FACTS, layers.silver),
@@ -76,7 +81,7 @@ def build_gold(
             spark,
             {
                 (name, SYSTEM): lambda n=name, b=build, s=sources, d=database: _load(
-                    spark, n, b, s, d, layers, as_of
+                    spark, n, b, s, d, layers, as_of, partitions.get(n, ())
                 )
                 for name, (build, sources) in tables.items()
             },

@@ -50,6 +50,7 @@ def run(
     parallel: int = 4,
     as_of: datetime | None = None,
     location: str | None = None,
+    partitions: Mapping[str, Sequence[str]] = {},
 ) -> LoadResult:
     """Load extracts into all three layers. A table that fails is reported in the
     result and leaves the others alone."""
@@ -58,7 +59,7 @@ def run(
     bronze = ingest_all(spark, folders, rules, layers, parallel, infer=infer, as_of=as_of)
     write_table(outcome_log(spark, bronze), f"{layers.bronze}.{LOG_TABLE}")
     silver = refine_all(spark, rules, layers, orders, parallel, as_of)
-    gold = build_gold(spark, layers, parallel, as_of)
+    gold = build_gold(spark, layers, parallel, as_of, partitions)
     return LoadResult(bronze, silver, gold)
 
 
