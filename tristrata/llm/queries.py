@@ -6,9 +6,10 @@ import uuid
 from collections.abc import Callable
 from functools import wraps
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tristrata.llm import exact_dedup, mixing, simhash
+from tristrata.llm import bpe, exact_dedup, language, mixing, quality, simhash, toxicity
 from tristrata.llm.shared import read_table, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,11 +26,35 @@ def query(run: Query) -> Query:
     return shipped
 
 
+@query
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return quality.scored(docs, quality.fit(docs, read_table(spark, folder, "labels")))
+
+
+@query
+def op3_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.encoded(read_table(spark, folder, "documents"), tokenizer)
+
+
+@query
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return language.identified(docs, language.fit(docs))
+
+
 @query
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(read_table(spark, folder, "documents"))
 
 
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    return toxicity.graded(docs, toxicity.fit(docs, read_table(spark, folder, "labels")))
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as the first batch of a new index."""
