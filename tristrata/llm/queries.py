@@ -8,8 +8,9 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tristrata.llm import bpe, exact_dedup, language, mixing, quality, simhash, toxicity
+from tristrata.llm import bpe, exact_dedup, language, mixing, neighbours, personal_data, quality, simhash, toxicity
 from tristrata.llm.shared import read_table, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,12 +50,23 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(read_table(spark, folder, "documents"))
 
 
+@query
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.find(read_table(spark, folder, "documents"))
+
+
 @query
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     return toxicity.graded(docs, toxicity.fit(docs, read_table(spark, folder, "labels")))
 
 
+@query
+def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    return neighbours.nearest_neighbours(vectors, F.col("vec_id") % 20 == 0)
+
+
 @query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as the first batch of a new index."""
