@@ -27,7 +27,7 @@ UNKNOWN = "und"
 # Fixed bounds of the model: distinct (language, context, byte) counts kept, the most frequent
 # first, and bytes of the table of log probabilities.
 MOST_COUNTS = 400_000
-TABLE_BYTES = 64 << 20
+TABLE_BYTES = 24 << 20
 _FLUSH = 1 << 20
 _ASCII_LETTERS = np.zeros(256, bool)
 _ASCII_LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -150,8 +150,8 @@ def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -
             above_rows = parent_rows[order - 1][kept % width ** (order - 1)]
             base = tables[-1][:, above_rows, :]
         else:
-            base = np.full((len(langs), 1, width), 1 / 256)
-        counts = np.zeros((len(langs), len(kept), width))
+            base = np.full((len(langs), 1, width), 1 / 256, np.float32)
+        counts = np.zeros((len(langs), len(kept), width), np.float32)
         rows = row_of[context]
         use = rows >= 0
         np.add.at(counts, (lang[use], rows[use], codes[ORDER][use]), n[use])
