@@ -29,6 +29,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 # Words whose encodings a worker keeps; beyond that it starts a new trie.
 KEPT_WORDS = 300_000
 _NEVER = 1 << 60
+# The more text at a time, the more prefixes its new words share.
+_BYTES_AT_ONCE = 8 << 20
 
 
 def _byte_letters() -> dict[str, int]:
@@ -57,7 +59,9 @@ class Encoder:
             self.made_of[vocab[a + b]] = (*pair, rank)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens |= {i: text.encode() for text, i in self.special.items()}
-        self.longest = max(map(len, self.ids))
+        self.packed = {i: i.to_bytes(4, "little") for i in self.tokens}
+        # All beginnings of tokens: what is none can't become a token by more bytes.
+        self.begun = {word[:n] for word in self.ids for n in range(1, len(word) + 1)}
         self.split = regex.compile(PATTERN).findall
         cuts = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.cut = regex.compile(f"({'|'.join(cuts)})").split if cuts else lambda text: [text]
@@ -96,35 +100,42 @@ class Encoder:
             else:
                 j += 1
 
-    def _encode_sorted(self, words: list[bytes]) -> Iterator[list[int]]:
-        """Token ids of words in byte order."""
-        ids, meeting, longest = self.ids, self.meeting, self.longest
-        path: list[tuple[int, int]] = [(-1, 0)]  # last token and length of the prefix before it
+    def _encode_sorted(self, words: list[bytes]) -> Iterator[bytes]:
+        """The packed ids of words in byte order."""
+        token_of, begun, fits, packed = self.ids.get, self.begun, self.meeting.get, self.packed
+        # For each prefix on the path: its last token, where that begins, and the first
+        # place at which a token that reaches the prefix's end or beyond can begin.
+        last, cut, low = [-1], [0], [0]
         before = b""
         for word in words:
             shared, most = 0, min(len(before), len(word))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
-            del path[shared + 1 :]
+            del last[shared + 1 :], cut[shared + 1 :], low[shared + 1 :]
+            first = low[shared]
             for end in range(shared + 1, len(word) + 1):
-                for start in range(max(end - longest, 0), end):
-                    token = ids.get(word[start:end])
+                while word[first:end] not in begun:
+                    first += 1
+                for start in range(first, end):
+                    token = token_of(word[start:end])
                     if token is None:
                         continue
                     if not start:
                         break
-                    pair = path[start][0] << 32 | token
-                    fits = meeting.get(pair)
-                    if fits is None:
-                        fits = meeting[pair] = self._meet(path[start][0], token)
-                    if fits:
+                    pair = last[start] << 32 | token
+                    meet = fits(pair)
+                    if meet is None:
+                        meet = self.meeting[pair] = self._meet(last[start], token)
+                    if meet:
                         break
-                path.append((token, start))
+                last.append(token)
+                cut.append(start)
+                low.append(first)
             out, at = [], len(word)
             while at:
-                token, at = path[at]
-                out.append(token)
-            yield out[::-1]
+                out.append(packed[last[at]])
+                at = cut[at]
+            yield b"".join(out[::-1])
             before = word
 
     def _learn(self, words: set[str]) -> None:
@@ -132,26 +143,25 @@ class Encoder:
             self.words.clear()
         if len(self.meeting) > 4 * KEPT_WORDS:
             self.meeting.clear()
-        pairs = sorted((w.encode(), w) for w in words)
-        for (_, word), ids in zip(pairs, self._encode_sorted([b for b, _ in pairs])):
-            self.words[word] = b"".join([i.to_bytes(4, "little") for i in ids])
+        ordered = sorted(words)  # code points and UTF-8 bytes have the same order
+        self.words.update(zip(ordered, self._encode_sorted([w.encode() for w in ordered])))
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [
-            [(p, self.special.get(p)) for p in self.cut(t) if p] if self.special else [(t, None)]
-            for t in texts
+        # Special tokens stand between the words of what lies between them.
+        split = [
+            [self.split(part) if i % 2 == 0 else [part] for i, part in enumerate(self.cut(text))]
+            for text in texts
         ]
-        split = [[(self.split(p), s) if s is None else (None, s) for p, s in parts] for parts in cut]
-        fresh = {w for parts in split for words, s in parts if s is None for w in words}
-        known = self.words
-        fresh = {w for w in fresh if w not in known}
-        if len(known) + len(fresh) > KEPT_WORDS:
-            fresh = {w for parts in split for words, s in parts if s is None for w in words}
-        self._learn(fresh)
-        get = self.words.__getitem__
+        words: set[str] = set()
+        for parts in split:
+            for part in parts[::2]:
+                words.update(part)
+        fresh = words.difference(self.words)
+        self._learn(fresh if len(self.words) + len(fresh) <= KEPT_WORDS else words)
+        word, special = self.words.__getitem__, {t: self.packed[i] for t, i in self.special.items()}.__getitem__
         return [
-            b"".join([b"".join(map(get, words)) if s is None else s.to_bytes(4, "little") for words, s in parts])
+            b"".join([b"".join(map(special if i % 2 else word, part)) for i, part in enumerate(parts)])
             for parts in split
         ]
 
@@ -188,7 +198,7 @@ def encoded(docs: DataFrame, tokenizer: str | Path, keep_tokens: bool = False) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(shared.value)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=_BYTES_AT_ONCE):
                 texts = [t or "" for t in part.column("text").to_pylist()]
                 packed = bpe.encode_all(texts)
                 decoded = [bpe.decode(p) for p in packed]
