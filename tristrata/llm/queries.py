@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import bpe, exact_dedup, language, mixing, neighbours, personal_data, quality, simhash, toxicity
+from tristrata.llm import bpe, exact_dedup, language, mixing, neighbours, personal_data, quality, simhash, substrings, toxicity
 from tristrata.llm.shared import read_table, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def query(run: Query) -> Query:
     return shipped
 
 
+@query
+def op1_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(read_table(spark, folder, "documents"))
+
+
 @query
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
