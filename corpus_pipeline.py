@@ -1,5 +1,72 @@
-"""A corpus from raw documents to tokens."""
+"""A corpus from raw documents to tokens, one operator after another.
+
+Each stage is ``(spark, docs, sf_dir) -> DataFrame`` and works on all that the one before
+kept; its result is written as Parquet and read again as the next one's documents. All but
+the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-QUERIES = {}
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tristrata.llm import bpe, exact_dedup, mixing, quality, simhash
+from tristrata.llm.shared import new_index_name, read_table, ship, staged
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    ship(spark)
+    return quality.kept(docs, quality.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest doc_id stays."""
+    index = exact_dedup.DigestIndex(spark, new_index_name())
+    return exact_dedup.without_copies(docs, index)
+
+
+def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the row with the smallest doc_id stays."""
+    ship(spark)
+    return simhash.without_near_copies(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every row of the mix."""
+    ship(spark)
+    return bpe.encoded(docs, public_tokenizers.path(TOKENIZER))
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("exact_dedup", first_copies),
+    ("near_dedup", no_near_copies),
+    ("mixing", mixed),
+    ("bpe", tokens),
+]
+
+# A trained classifier, fingerprints and merges are beyond SQL; the tests compare with brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir))
+    return docs
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return run(spark, folder)
+
+
+QUERIES = {"pipeline": pipeline}

@@ -12,9 +12,9 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm.shared import staged
+from tristrata.llm.shared import free_name, numbered
 
-INDEX_SCHEMA = "digest binary, keep_id bigint, keep_row bigint, group_size bigint"
+INDEX_SCHEMA = "digest binary, keep_id bigint, keep_row bigint, group_size bigint, batch int"
 
 
 def normalised(text: Column) -> Column:
@@ -51,6 +51,9 @@ class DigestIndex:
         self.spark.catalog.refreshTable(self.table)
         return self.spark.table(self.table)
 
+    def last_batch(self) -> int:
+        return self.entries().agg(F.coalesce(F.max("batch"), F.lit(0))).first()[0]
+
     def add(self, digests: DataFrame) -> None:
         """Index a batch of ``doc_id, digest, row_no``. Of equal digests within the batch the
         largest doc_id stays; a digest that is indexed already keeps its first entry."""
@@ -65,18 +68,13 @@ class DigestIndex:
                 F.col("kept.doc_id").alias("keep_id"),
                 F.negate("kept.back").alias("keep_row"),
                 "group_size",
+                F.lit(self.last_batch() + 1).alias("batch"),
             )
         )
         known = self.entries().select("digest").hint("merge")
         self._append(fresh.join(known, "digest", "left_anti"))
 
 
-def digest_rows(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, row_no`` of every row, staged: ``row_no`` tells repeated rows apart."""
-    rows = docs.select("doc_id", digest_of(F.col("text")).alias("digest"))
-    return staged(rows.withColumn("row_no", F.monotonically_increasing_id()))
-
-
 def group_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
@@ -85,7 +83,9 @@ def group_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     Other columns of ``docs`` play no part. Adaptive skew handling spreads a large group of
     copies over tasks; no text is shuffled.
     """
-    digests = digest_rows(docs)
+    rows = docs.select(F.col("doc_id").cast("bigint"), digest_of(F.col("text")).alias("digest"))
+    digests = numbered(rows, "row_no")
+    before = index.last_batch()
     index.add(digests)
     # A computed key hides the buckets: with a shuffle on both sides a large group can be split.
     kept = index.entries().withColumn("digest", F.concat("digest", F.lit(b"")))
@@ -93,6 +93,18 @@ def group_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
         "doc_id",
         "keep_id",
         "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("row_no") == F.col("keep_row"))).alias("kept"),
+        ((F.col("row_no") == F.col("keep_row")) & (F.col("batch") > before)).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def without_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
+    """The rows of ``docs`` that stay, each once and with all its columns: one row of each text
+    that the index does not have, by the rules of ``group_copies``."""
+    row, digest = free_name(docs, "row_no"), free_name(docs, "digest")
+    rows = numbered(docs, row, **{digest: digest_of(F.col("text"))})
+    before = index.last_batch()
+    index.add(rows.select(F.col("doc_id").cast("bigint"), F.col(digest).alias("digest"), F.col(row).alias("row_no")))
+    fresh = index.entries().where(F.col("batch") > before)
+    keep = fresh.select(F.col("keep_row").alias(row))
+    return rows.join(keep, row, "left_semi").select(*docs.columns)

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tristrata.llm.shared import staged
+from tristrata.llm.shared import free_name, numbered, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Weights of the sources in code point order, repeating, and the most copies.
@@ -67,21 +67,8 @@ def uniform(doc_id: Column) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
-def mixed(
-    docs: DataFrame,
-    weights: Sequence[int] = WEIGHTS,
-    most: int = MOST_COPIES,
-    table_rows: int = 100_000,
-) -> DataFrame:
-    """One row per document: ``doc_id, size, source_size, target, taken``.
-
-    ``taken`` is ``size`` times the number of copies that the mix takes. Null and empty texts
-    have no words and are not taken; a null source is a source. Repeated rows are sampled
-    like others, ties in rank broken by doc_id and size. Other columns play no part.
-    A source of any size is spread over tasks: ranks are first summed per source and
-    bin, which tells the bin where the target is met, and only that bin's rows are ordered.
-    """
-    sizes = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
+def _planned(sizes: DataFrame, weights: Sequence[int], most: int, table_rows: int) -> DataFrame:
+    """The columns of ``sizes`` (``doc_id, source, size, row_no``) with ``source_size, target, taken``."""
     targets = staged(source_targets(sizes, weights, most))
     few = targets.limit(table_rows + 1).count() <= table_rows
     key = sizes["source"].eqNullSafe(targets["source"])
@@ -113,7 +100,7 @@ def mixed(
     cut = ranked.join(
         F.broadcast(met_in) if few else met_in, F.col("source").eqNullSafe(F.col("cut_source")), "left"
     )
-    in_order = Window.partitionBy("source").orderBy("rank", "doc_id", "size")
+    in_order = Window.partitionBy("source").orderBy("rank", "doc_id", "size", "row_no")
     middle = F.col("cut_before") + F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size") / 2
     inside = F.col("bin") == F.col("cut_bin")
     edge = cut.where(inside).withColumn("more", middle <= F.col("wanted"))
@@ -122,17 +109,33 @@ def mixed(
         "more", F.col("bin").isNotNull() & F.coalesce(F.col("bin") < F.col("cut_bin"), F.lit(True))
     )
     taken = F.col("size") * (F.col("sure") + F.col("more").cast("bigint"))
-    return edge.unionByName(rest).select("doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken"))
+    return edge.unionByName(rest).select(*sizes.columns, "source_size", "target", taken.cast("bigint").alias("taken"))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """The mix itself: each document as often as it is taken, with the columns it came with.
+# Up to so many sources their table is broadcast.
+TABLE_ROWS = 100_000
+
 
-    ``doc_id`` must be unique, as it is after de-duplication.
+def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """One row per document: ``doc_id, size, source_size, target, taken``.
+
+    ``taken`` is ``size`` times the number of copies that the mix takes. Null and empty texts
+    have no words and are not taken; a null source is a source. Repeated rows are sampled
+    like others, ties in rank broken by doc_id and size. Other columns play no part.
+    A source of any size is spread over tasks: ranks are first summed per source and
+    bin, which tells the bin where the target is met, and only that bin's rows are ordered.
     """
-    copies = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
-    plan = mixed(docs, weights, most).where("taken > 0").select(F.col("doc_id").alias("_mix_id"), copies.alias("_mix_n"))
-    met = docs.join(plan, F.col("doc_id") == F.col("_mix_id"))
-    return met.withColumn("_mix_n", F.explode(F.sequence(F.lit(1), F.col("_mix_n")))).select(
-        *[docs[c] for c in docs.columns]
-    )
+    sizes = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.lit(0).alias("row_no")))
+    return _planned(sizes, weights, most, TABLE_ROWS).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+    """The mix itself: each row as often as it is taken, with the columns it came with."""
+    row = free_name(docs, "row_no")
+    rows = numbered(docs, row)
+    sizes = staged(rows.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.col(row).alias("row_no")))
+    plan = _planned(sizes, weights, most, TABLE_ROWS).where("taken > 0")
+    times = free_name(docs, "times")
+    taken = plan.select(F.col("row_no").alias(row), (F.col("taken") / F.col("size")).cast("int").alias(times))
+    again = rows.join(taken, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return again.select(*docs.columns)

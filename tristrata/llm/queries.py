@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tristrata.llm import bpe, exact_dedup, language, mixing, neighbours, personal_data, quality, simhash, substrings, toxicity
-from tristrata.llm.shared import read_table, ship
+from tristrata.llm.shared import new_index_name, read_table, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,7 +74,7 @@ def op8_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents as the first batch of a new index."""
-    index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}")
+    index = exact_dedup.DigestIndex(spark, new_index_name())
     return exact_dedup.group_copies(read_table(spark, folder, "documents"), index)
 
 

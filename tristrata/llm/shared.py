@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SHIPPED: set[str] = set()
 
@@ -48,5 +49,16 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def numbered(df: DataFrame, name: str, **more: Column) -> DataFrame:
+    """The frame, staged, with a number for each row under ``name`` (and ``more`` columns): it
+    tells repeated rows apart, and stays the same however often the frame is read."""
+    return staged(df.withColumns(more | {name: F.monotonically_increasing_id()}))
+
+
+def new_index_name() -> str:
+    """A table name that no other index has."""
+    return f"digests_{uuid.uuid4().hex}"
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.llm.components import components
-from tristrata.llm.shared import staged
+from tristrata.llm.shared import free_name, numbered, staged
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -61,14 +61,15 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         marks = [fingerprint(t.as_py()) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(marks, pa.int64())], names=["doc_id", "fp"]
+            [batch.column("doc_id"), batch.column("row_no"), pa.array(marks, pa.int64())],
+            names=["doc_id", "row_no", "fp"],
         )
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` of every row, staged."""
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return staged(rows.mapInArrow(_fingerprints, "doc_id bigint, fp bigint"))
+def fingerprints(docs: DataFrame, row_no: Column) -> DataFrame:
+    """``doc_id, row_no, fp`` of every row, staged."""
+    rows = docs.select(F.col("doc_id").cast("bigint"), row_no.alias("row_no"), F.col("text").cast("string"))
+    return staged(rows.mapInArrow(_fingerprints, "doc_id bigint, row_no bigint, fp bigint"))
 
 
 def bit_counts(fp: Column) -> Column:
@@ -176,6 +177,13 @@ def links(
     return dealt.mapInArrow(_links_in_cells(distance), "u bigint, v bigint")
 
 
+def labelled(marks: DataFrame, distance: int, blocks: int) -> DataFrame:
+    """``fp, label`` of every distinct fingerprint, staged: equal labels, one component."""
+    nodes = staged(marks.select("fp").distinct())
+    labels = components(links(nodes, distance, blocks)).withColumnRenamed("node", "fp")
+    return staged(nodes.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")))
+
+
 def near_copies(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
@@ -183,16 +191,25 @@ def near_copies(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS)
     Null texts count as empty; empty texts have fingerprint zero and link like others. Rows with
     equal fingerprints, repeated rows among them, are one node. Other columns play no part.
     """
-    marks = fingerprints(docs)
-    nodes = staged(marks.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    labels = components(links(nodes, distance, blocks))
-    # A component's label is a fingerprint; its id is the smallest doc_id of its members.
-    joined = nodes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "label", F.coalesce("label", "fp")
-    )
-    joined = staged(joined)
-    ids = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-    found = joined.join(ids, "label").select("fp", "component_id")
+    marks = fingerprints(docs, F.lit(0).cast("bigint"))
+    labels = labelled(marks, distance, blocks)
+    # Rows are reduced to fingerprints and those to labels before anything is joined.
+    least = marks.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    ids = least.join(labels, "fp").groupBy("label").agg(F.min("least").alias("component_id"))
+    found = labels.join(ids, "label").select("fp", "component_id")
     return marks.join(found, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def without_near_copies(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """The rows that stay, with all their columns: of each component the row with the smallest
+    doc_id, null last; of repeated rows one."""
+    row = free_name(docs, "row_no")
+    rows = numbered(docs, row)
+    marks = fingerprints(rows, F.col(row))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no")).alias("kept")
+    by_mark = marks.groupBy("fp").agg(least)
+    by_label = by_mark.join(labelled(marks, distance, blocks), "fp").groupBy("label").agg(F.min("kept").alias("kept"))
+    keep = by_label.select(F.col("kept.row_no").alias(row))
+    return rows.join(keep, row, "left_semi").select(*docs.columns)

@@ -64,15 +64,15 @@ def sampled_rows(
         .limit(rows)
     )
     # Bounded by ``rows``.
-    met = docs.join(F.broadcast(picked), F.col("doc_id") == F.col("_id"))
-    met = met.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), "_label")
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    met = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).drop("_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts = texts_of(part.column("text"))
-                number, feature = featurise(texts)
-                cuts = np.searchsorted(number, np.arange(len(texts) + 1))
+                column = texts_of(part.column("text"))
+                number, feature = featurise(column)
+                cuts = np.searchsorted(number, np.arange(len(column) + 1))
                 packed = [feature[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("_label"), pa.array(packed, pa.binary())],
