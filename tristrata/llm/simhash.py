@@ -100,18 +100,18 @@ def _forest(values: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
     """
     ends: list[int] = []
     roots: list[int] = []
-    open_ = values
+    open_ = values.view(np.uint64)  # of a negative number only the size's bits would be counted
     while len(open_) > 1:
         root, open_ = open_[0], open_[1:]
         reached = [root]
         while reached and len(open_):
-            near = np.bitwise_count(np.bitwise_xor(open_, reached.pop())) <= distance
+            near = np.bitwise_count(open_ ^ reached.pop()) <= distance
             if near.any():
                 found = open_[near]
                 open_ = open_[~near]
                 reached.extend(found)
-                ends.extend(found.tolist())
-                roots.extend([int(root)] * len(found))
+                ends.extend(found.view(np.int64).tolist())
+                roots.extend([int(root.view(np.int64))] * len(found))
     return roots, ends
 
 
