@@ -24,8 +24,8 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, label`` for every node of undirected edges ``u, v``: the label is the
-    smallest node that can be reached.
+    """``node, label`` for nodes of undirected edges ``u, v``: the label is the smallest
+    node that can be reached. The smallest nodes themselves have no row.
 
     Large-star and small-star steps in turn, each staged, until nothing changes: a
     number of rounds that grows with the logarithm of the number of nodes.
