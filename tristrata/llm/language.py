@@ -67,7 +67,7 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, (keys, counts) in held.items():
             found, n = _merged(keys, counts)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(found)), pa.array(found.astype(np.int64)), pa.array(n)],
+                [pa.array([lang] * len(found), pa.string()), pa.array(found.astype(np.int64)), pa.array(n, pa.int64())],
                 names=["lang", "gram", "n"],
             )
         held.clear()
