@@ -151,6 +151,18 @@ def inner_runs(text: np.ndarray, length: int) -> np.ndarray:
 
 
 def distinct_per_text(text: np.ndarray, feature: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each text's distinct features, ordered by text and feature."""
-    both = np.unique((text.astype(np.uint64) << np.uint64(bits)) | feature.astype(np.uint64))
-    return (both >> np.uint64(bits)).astype(np.int64), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    """Each text's features once; ``text`` must be in order.
+
+    Every feature's last place in a text is noted in a table, and a place that is the noted one
+    is kept: no sorting, and the table is never cleared.
+    """
+    noted = np.zeros(1 << bits, np.int32)
+    feature = feature.astype(np.int64)
+    kept = np.empty(len(text), bool)
+    cuts = [0, *(np.flatnonzero(text[1:] != text[:-1]) + 1).tolist(), len(text)]
+    places = np.arange(max(map(int.__sub__, cuts[1:], cuts), default=0), dtype=np.int32)
+    for a, b in zip(cuts, cuts[1:]):
+        here = feature[a:b]
+        noted[here] = places[: b - a]
+        kept[a:b] = noted[here] == places[: b - a]
+    return text[kept], feature[kept]

@@ -25,7 +25,7 @@ from tristrata.llm.grams import (
     word_runs,
     words_of,
 )
-from tristrata.llm.sparse import Rows, sampled_rows, text_sums
+from tristrata.llm.sparse import Features, Rows, sampled_rows, text_sums
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -39,19 +39,22 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % FOLDS == HELD_OUT
 
 
-def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+def features(texts: Texts) -> Features:
     """Distinct hashed n-grams of each text: one and two words, three bytes."""
     words = words_of(texts)
-    room = np.uint64((1 << BITS) - 1)
     pairs = word_runs(words.hash, 2)
     within = inner_runs(words.text, 2)
-    data = texts.data.astype(np.uint64)
-    three = (data[:-2] << np.uint64(16)) | (data[1:-1] << np.uint64(8)) | data[2:]
+    data = texts.data.astype(np.uint32)
+    three = (data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:]
     owner = np.repeat(np.arange(len(texts)), np.diff(texts.bounds))
     whole = inner_runs(owner, 3)
-    text = np.concatenate([words.text, words.text[: len(pairs)][within], owner[: len(three)][whole]])
-    grams = np.concatenate([words.hash, pairs[within], mixed_bits(three[whole] + np.uint64(1 << 40))])
-    return distinct_per_text(text, grams & room, BITS)
+    families = [
+        (words.text, words.hash),
+        (words.text[: len(pairs)][within], pairs[within]),
+        (owner[: len(three)][whole], mixed_bits(three[whole].astype(np.uint64) + np.uint64(1 << 40))),
+    ]
+    room = np.uint64((1 << BITS) - 1)
+    return [distinct_per_text(text, grams & room, BITS) for text, grams in families]
 
 
 @dataclass
@@ -66,9 +69,9 @@ class Model:
     offset: float
 
     def scores(self, texts: Texts) -> np.ndarray:
-        number, feature = features(texts)
-        total = text_sums(number, feature, self.weights, len(texts))
-        length = np.sqrt(text_sums(number, feature, self.squares, len(texts)))
+        found = features(texts)
+        total = text_sums(found, self.weights, len(texts))
+        length = np.sqrt(text_sums(found, self.squares, len(texts)))
         margin = total / np.maximum(length, 1e-12) + self.bias
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -500, 500)))
 

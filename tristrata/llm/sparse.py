@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from tristrata.llm.grams import Texts, slices, texts_of
 
-# texts -> (number of the text, feature) of each indicator that is set, ordered by text
-Featurise = Callable[[Texts], tuple[np.ndarray, np.ndarray]]
+# texts -> families of features, each with the text's number and the feature of every indicator
+# that is set
+Features = list[tuple[np.ndarray, np.ndarray]]
+Featurise = Callable[[Texts], Features]
 
 
 @dataclass
@@ -40,8 +42,9 @@ class Rows:
         return np.repeat(np.arange(len(self)), np.diff(self.bounds))
 
 
-def text_sums(text: np.ndarray, feature: np.ndarray, weights: np.ndarray, texts: int) -> np.ndarray:
-    return np.bincount(text, weights[feature], texts)
+def text_sums(found: Features, weights: np.ndarray, texts: int) -> np.ndarray:
+    """Each text's sum of weights."""
+    return sum((np.bincount(text, weights[feature], texts) for text, feature in found), np.zeros(texts))
 
 
 def sampled_rows(
@@ -71,7 +74,9 @@ def sampled_rows(
         for batch in batches:
             for part in slices(batch):
                 column = texts_of(part.column("text"))
-                number, feature = featurise(column)
+                number, feature = (np.concatenate(x) for x in zip(*featurise(column)))
+                order = np.argsort(number, kind="stable")
+                number, feature = number[order], feature[order]
                 cuts = np.searchsorted(number, np.arange(len(column) + 1))
                 packed = [feature[a:b].astype("<u4").tobytes() for a, b in zip(cuts, cuts[1:])]
                 yield pa.RecordBatch.from_arrays(

@@ -24,7 +24,7 @@ from tristrata.llm.grams import (
     texts_of,
     words_of,
 )
-from tristrata.llm.sparse import Rows, sampled_rows, text_sums
+from tristrata.llm.sparse import Features, Rows, sampled_rows, text_sums
 
 FOLDS, HELD_OUT = 5, 0
 BITS = 20
@@ -41,17 +41,16 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % FOLDS == HELD_OUT
 
 
-def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+def features(texts: Texts) -> Features:
     """Distinct hashed words and word beginnings of each text; case and punctuation don't count.
     Beginnings find words that are inflected or compounded."""
     words = words_of(texts, NO_LETTERS, LOWER)
-    text, grams = [words.text], [words.hash]
+    families = [(words.text, words.hash)]
     for length in PREFIXES:
         long, hashes = words.prefixes(length)
-        text.append(words.text[long])
-        grams.append(hashes)
-    found = np.concatenate(grams) & np.uint64((1 << BITS) - 1)
-    return distinct_per_text(np.concatenate(text), found, BITS)
+        families.append((words.text[long], hashes))
+    room = np.uint64((1 << BITS) - 1)
+    return [distinct_per_text(text, grams & room, BITS) for text, grams in families]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -65,8 +64,7 @@ class Model:
 
     def at_least(self, texts: Texts) -> np.ndarray:
         """P(grade >= k) for k = 1, 2, ... in columns, a row per text."""
-        number, feature = features(texts)
-        total = text_sums(number, feature, self.weights, len(texts))
+        total = text_sums(features(texts), self.weights, len(texts))
         return _sigmoid(total[:, None] - self.thresholds[None, :])
 
 
