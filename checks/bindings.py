@@ -37,6 +37,9 @@ _DEMAND_ROWS = """
     group by market, material, period
 """
 _SNAPSHOTS = ",\n           ".join(f"qty + {i} as fcst_snapshot_{i}" for i in range(1, 13))
+# Rows under another key are what rows without a partner look like from the other side.
+_UNMET_STOCK = "case when l_returnflag = 'N' then 'x' else '' end"
+_UNMET_PRICE = "case when l_discount < 0.05 then 'x' else '' end"
 _LINE_KEYS = "cast(l_partkey as string) as MATNR, cast(l_suppkey as string) as {plant}"
 _PERIOD = """year(l_shipdate) as LFGJA,
            case when l_linenumber = 7 then 13 else month(l_shipdate) end as LFMON"""
@@ -79,10 +82,12 @@ BINDINGS: dict[str, str] = {
            case when s_acctbal > 0 then 'plus' end as REGIO
     from {supplier}""",
     "t001l": """
-    select cast(l_suppkey as string) as WERKS, cast(l_linenumber as string) as LGORT,
-           'bin ' || cast(min(l_partkey) as string) as LGOBE
-    from {lineitem} where l_discount > 0.09 and l_tax > 0.07
-    group by l_suppkey, l_linenumber""",
+    select case when l_discount > 0.09 and l_tax > 0.07 then '' else 'x' end
+               || cast(l_suppkey as string) as WERKS,
+           cast(l_linenumber as string) as LGORT, 'bin ' || cast(min(l_partkey) as string) as LGOBE
+    from {lineitem}
+    group by case when l_discount > 0.09 and l_tax > 0.07 then '' else 'x' end,
+             l_suppkey, l_linenumber""",
     "lfa1": """
     select cast(s_suppkey as string) as LIFNR, s_name as NAME1,
            cast(s_nationkey as string) as LAND1, 'city' as ORT01,
@@ -131,39 +136,41 @@ BINDINGS: dict[str, str] = {
            {_STOCK}
     from {{lineitem}}""",
     "mard": f"""
-    select {_LINE_KEYS.replace("{plant}", "WERKS")}, cast(l_linenumber as string) as LGORT,
+    select {_UNMET_STOCK} || {_LINE_KEYS.replace("{plant}", "WERKS")},
+           cast(l_linenumber as string) as LGORT,
            sum(cast(l_quantity as decimal(15,3))) as LABST,
            sum(cast(l_tax as decimal(15,3))) as INSME,
            count(*) as SPEME
-    from {{lineitem}} where l_returnflag <> 'N'
-    group by l_partkey, l_suppkey, l_linenumber""",
+    from {{lineitem}}
+    group by {_UNMET_STOCK}, l_partkey, l_suppkey, l_linenumber""",
     "mbew": f"""
-    select {_LINE_KEYS.replace("{plant}", "BWKEY")},
+    select {_UNMET_PRICE} || {_LINE_KEYS.replace("{plant}", "BWKEY")},
            max(l_extendedprice) as VERPR, min(l_extendedprice) as STPRS, count(*) as PEINH,
            max(l_returnflag) as BWTAR, min(l_linestatus) as BKLAS
-    from {{lineitem}} where l_discount >= 0.05
-    group by l_partkey, l_suppkey""",
+    from {{lineitem}}
+    group by {_UNMET_PRICE}, l_partkey, l_suppkey""",
     "mslb": f"""
-    select {_LINE_KEYS.replace("{plant}", "WERKS")}, cast(l_orderkey as string) as CHARG,
+    select case when l_returnflag = 'R' then '' else 'x' end
+               || {_LINE_KEYS.replace("{plant}", "WERKS")}, cast(l_orderkey as string) as CHARG,
            l_returnflag as SOBKZ, l_quantity as LBLAB
-    from {{lineitem}} where l_returnflag = 'R'""",
+    from {{lineitem}}""",
     "mchbh": f"""
     select {_LINE_KEYS.replace("{plant}", "WERKS")},
            {_PERIOD},
            {_STOCK}
     from {{lineitem}}""",
     "mardh": f"""
-    select {_LINE_KEYS.replace("{plant}", "WERKS")}, cast(l_linenumber as string) as LGORT,
-           {_PERIOD},
+    select {_UNMET_STOCK} || {_LINE_KEYS.replace("{plant}", "WERKS")},
+           cast(l_linenumber as string) as LGORT, {_PERIOD},
            sum(cast(l_quantity as decimal(15,3))) as LABST
-    from {{lineitem}} where l_returnflag <> 'N'
-    group by l_partkey, l_suppkey, l_linenumber, {_PERIOD_GROUP}""",
+    from {{lineitem}}
+    group by {_UNMET_STOCK}, l_partkey, l_suppkey, l_linenumber, {_PERIOD_GROUP}""",
     "mbewh": f"""
-    select {_LINE_KEYS.replace("{plant}", "BWKEY")},
+    select {_UNMET_PRICE} || {_LINE_KEYS.replace("{plant}", "BWKEY")},
            {_PERIOD},
            max(l_extendedprice) as VERPR, min(l_extendedprice) as STPRS
-    from {{lineitem}} where l_discount >= 0.05
-    group by l_partkey, l_suppkey, {_PERIOD_GROUP}""",
+    from {{lineitem}}
+    group by {_UNMET_PRICE}, l_partkey, l_suppkey, {_PERIOD_GROUP}""",
     "ekko": """
     select cast(o_orderkey as string) as EBELN, '1000' as BUKRS,
            case when o_orderpriority = '1-URGENT' then 'ZZ' when o_orderstatus = 'F' then 'NB'
@@ -183,13 +190,14 @@ BINDINGS: dict[str, str] = {
            l_quantity as MENGE, l_extendedprice as NETPR
     from {lineitem}""",
     "eket": """
-    select cast(l_orderkey as string) as EBELN, cast(l_linenumber as string) as EBELP,
+    select case when l_discount > 0 then '' else 'x' end || cast(l_orderkey as string) as EBELN,
+           cast(l_linenumber as string) as EBELP,
            cast(l_partkey as string) || '-' || cast(l_suppkey as string) as ETENR,
            cast(cast(l_shipdate as date) as string) as EINDT,
            l_quantity as MENGE,
            case when l_tax = 0 then null when l_linestatus = 'O' then l_quantity - 1
                 else l_quantity end as WEMNG
-    from {lineitem} where l_discount > 0""",
+    from {lineitem}""",
     "ekbe": """
     select cast(l_orderkey as string) as EBELN, cast(l_linenumber as string) as EBELP,
            case when l_returnflag = 'R' then '1' else '2' end as VGABE,
@@ -197,11 +205,13 @@ BINDINGS: dict[str, str] = {
     from {lineitem}""",
     "vendors": "select cast(c_custkey as string) as LIFNR, c_name as NAME1 from {customer}",
     "t001": """
-    select distinct l_returnflag as BUKRS, 'company ' || l_returnflag as BUTXT
-    from {lineitem} where l_returnflag <> 'A'""",
+    select distinct case when l_returnflag = 'A' then 'x' else '' end || l_returnflag as BUKRS,
+           'company ' || l_returnflag as BUTXT
+    from {lineitem}""",
     "t024": """
-    select distinct o_orderpriority as EKGRP, lower(o_orderpriority) as EKNAM
-    from {orders} where o_orderpriority <> '5-LOW'""",
+    select distinct case when o_orderpriority = '5-LOW' then 'x' else '' end || o_orderpriority
+               as EKGRP, lower(o_orderpriority) as EKNAM
+    from {orders}""",
     "t024e": """
     select distinct o_orderstatus as EKORG, 'org ' || o_orderstatus as EKOTX from {orders}""",
     "demand_actual": f"""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+
 from checks.bindings import ctes
+from tristrata.plans.registry import RULES
 
 VALIDITY = """DATE '2024-01-01' AS effective_date, CAST(NULL AS DATE) AS end_date,
     TRUE AS is_current"""
@@ -208,10 +211,10 @@ INGESTED = [
 INGEST_LOG = " UNION ALL ".join(
     [
         f"SELECT '{t}' AS table_name, '{s}' AS source_system, 'SUCCESS' AS status, "
-        f"count(*) AS record_count FROM {t}"
+        f"count(*) AS record_count, CAST(0 AS BIGINT) AS bad_records FROM {t}"
         for t, s in INGESTED
     ]
-    + [f"SELECT 'absent', '{s}', 'FAILED', 0" for s in ("SAP", "IBP")]
+    + [f"SELECT 'absent', '{s}', 'FAILED', 0, 0" for s in ("SAP", "IBP")]
 )
 
 
@@ -235,15 +238,23 @@ def summary(kind: str, rows: list[tuple[str, str, int, int | None]]) -> str:
 
 
 ORACLE: dict[str, str] = {
-    "csv_scan": """SELECT o_orderkey, o_custkey, nullif(o_orderpriority, '5-LOW') AS o_orderpriority,
-        o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders""",
-    "csv_codes": """SELECT lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS code,
-        lpad(CAST(p_size AS VARCHAR), 2, '0') AS size FROM part""",
+    "csv_scan": """SELECT * REPLACE (nullif(o_orderpriority, '5-LOW') AS o_orderpriority,
+        CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders""",
+    "csv_infer": """SELECT * REPLACE (CAST(o_orderkey AS INTEGER) AS o_orderkey,
+        CAST(o_custkey AS INTEGER) AS o_custkey, CAST(o_orderdate AS DATE) AS o_orderdate)
+        FROM orders""",
+    "csv_quotes": """SELECT doc_id, md5('5" pipe, "steel"' || chr(10) || text || chr(92) || '"') AS digest,
+        lang, source, n_chars, FALSE AS is_bad FROM documents""",
+    "csv_header_only": "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM customer WHERE FALSE",
+    "csv_codes": f"""SELECT * REPLACE (lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS p_partkey,
+        lpad(CAST(p_size AS VARCHAR), 2, '0') AS p_size,
+        CAST({dec("p_retailprice", 15, 2)} AS VARCHAR) AS p_retailprice) FROM part""",
     "sanitize_columns": """SELECT c_custkey AS "Cust_ID", c_name AS "Full_Name",
         c_nationkey AS "Nation_Key", c_acctbal AS "Acct_Bal", c_mktsegment AS "Acct_Bal_2"
         FROM customer""",
-    "bronze_ingest": """SELECT CAST(p_partkey AS VARCHAR) AS "Part_Key", p_name AS "Part_Name",
-        CAST(p_size AS VARCHAR) AS p_size, '2024-01-01 00:00:00' AS _ingestion_timestamp,
+    "bronze_ingest": f"""SELECT CAST(p_partkey AS VARCHAR) AS "Part_Key", p_name AS "Part_Name",
+        p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size,
+        CAST({dec("p_retailprice", 15, 2)} AS VARCHAR) AS p_retailprice, '2024-01-01 00:00:00' AS _ingestion_timestamp,
         'PART.csv' AS _source_file, 'SAP' AS _source_system,
         DATE '2024-01-01' AS _bronze_load_date FROM part""",
     "ingest_summary": f"""SELECT source_system, status, count(*) AS table_count,
@@ -254,7 +265,7 @@ ORACLE: dict[str, str] = {
         SELECT id, nullif(trim(name), '') AS name, nullif(trim(segment), '') AS segment,
         nullif(trim(nation), '') AS nation FROM padded_customers""",
     "blank_values": """SELECT doc_id,
-        CASE WHEN lang = 'en' THEN md5(nullif(trim('  ' || text || ' '), '')) END AS digest,
+        md5(nullif(trim('  ' || text || ' '), '')) AS digest,
         CAST(NULL AS VARCHAR) AS nothing FROM documents""",
     "silver_dates": f"""{ctes("order_dates")}
         SELECT id, {date8("ordered")} AS ordered, {date8("noted")} AS noted,
@@ -263,8 +274,9 @@ ORACLE: dict[str, str] = {
         FROM lineitem) {latest("dated", "l_orderkey, l_linenumber", down(
             "l_shipdate l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax "
             "l_returnflag l_linestatus"))}""",
-    "silver_dedupe_first_column": f"""WITH narrow AS (SELECT l_partkey, l_suppkey, l_quantity
-        FROM lineitem) {latest("narrow", "l_suppkey", down("l_partkey l_quantity"))}""",
+    "silver_dedupe_first_column": latest("lineitem", "l_suppkey", down(
+        "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+        "l_returnflag l_linestatus l_shipdate")),
     "silver_transform": f"""{CLEAN_LINES} SELECT *, DATE '2024-01-01' AS _silver_load_date,
         TRUE AS _is_current FROM clean""",
     "silver_run": f"""{ctes("raw_lines")},
@@ -278,10 +290,20 @@ ORACLE: dict[str, str] = {
             down("shipped part supplier flag status quantity"))})""",
     "mapping_projection": """SELECT event_id AS lot, user_id AS market, event_type AS kind,
         value AS sales_history FROM events""",
+    "mapping_file": """SELECT o_orderkey AS "Order", o_totalprice AS "Value, total" FROM orders""",
+    "layers_listed": """SELECT layer || '_layers_listed' AS layer,
+        CASE WHEN layer = 'silver' THEN (SELECT count(*) FROM customer) ELSE 0 END AS record_count
+        FROM (VALUES ('bronze'), ('silver'), ('gold')) x(layer)""",
+    "fact_stamps": f"""SELECT inspection_lot, '2024-01-01 00:00:00' AS created_timestamp,
+        '2024-01-01 00:00:00' AS updated_timestamp FROM ({release("ART = '04'")})""",
     "typed_staging": f"""SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
         CAST(l_linenumber AS VARCHAR) AS line, {dec("l_quantity", 15, 3)} AS quantity,
         {dec("l_extendedprice", 15, 2)} AS price, {dec("l_tax", 10, 4)} AS ratio,
-        l_returnflag AS flag, TRY_CAST(l_linestatus AS INTEGER) AS number FROM lineitem""",
+        l_returnflag AS flag, TRY_CAST(l_linestatus AS INTEGER) AS number,
+        CASE WHEN l_linenumber % 6 IN (0, 1) THEN {dec("l_partkey", 15, 2)}
+            WHEN l_linenumber % 6 = 2 THEN {dec("l_partkey * 100", 15, 2)}
+            WHEN l_linenumber % 6 = 3 THEN {dec("'-0.' || l_partkey", 15, 2)} END AS amount
+        FROM lineitem""",
     "columns_by_type": "SELECT l_partkey AS part, l_quantity AS quantity, 8 AS width FROM lineitem",
     "surrogate_keys": f"""{ctes("keyed_lines")} SELECT *,
         {key("order_id", "part", "line", "flag")} AS row_key FROM keyed_lines""",
@@ -410,7 +432,53 @@ _LOADED = {
     "fact_batch_release_external": ORACLE["batch_external"],
     "fact_batch_release_internal": ORACLE["batch_internal"],
 }
+_KEYS = {
+    "dim_product": "material_number", "dim_batch": "batch_number", "dim_date": "month_name",
+    "dim_storage": "plant", "dim_supplier": "supplier_number", "dim_uom": "uom_code",
+    "dim_customer": "customer_id", "dim_customer_product": "product_id",
+    "dim_location": "location_id", "dim_location_product": "product_id",
+    "fact_inventory": "batch_number", "fact_inventory_month_end_stock": "batch_number",
+    "fact_inventory_monthly_snapshot": "material_number", "fact_purchase_order": "short_text",
+    "fact_demand_actual": "product_id", "fact_demand_forecast": "product_id",
+    "fact_batch_release_external": "inspection_lot", "fact_batch_release_internal": "inspection_lot",
+    "dim_currency": "WAERS",
+}
+_LETTERS = {n: f"CAST(sum(length({c})) AS BIGINT)" for n, c in _KEYS.items()}
+_LETTERS["dim_date"] = "CAST(sum(length(strftime(d, '%B'))) AS BIGINT)"
+_LOADED["dim_date"] = _CALENDAR_DAYS + " AS d"
 ORACLE["gold_run"] = " UNION ALL ".join(
-    f"SELECT '{name}' AS table_name, 'SUCCESS' AS status, count(*) AS record_count FROM ({sql}) x"
+    f"SELECT '{name}' AS table_name, 'SUCCESS' AS status, count(*) AS record_count, "
+    f"{_LETTERS[name]} AS key_letters FROM ({sql}) x"
+    for name, sql in _LOADED.items()
+)
+# Read the material master or the past location stock, at one or two removes.
+_NOT_RENEWED = {
+    "dim_product", "dim_uom", "fact_inventory_month_end_stock", "fact_inventory_monthly_snapshot",
+}
+ORACLE["gold_run_failed"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, 'FAILED' AS status, CAST(0 AS BIGINT) AS record_count"
+    if name in _NOT_RENEWED
+    else f"SELECT '{name}' AS table_name, 'SUCCESS' AS status, count(*) AS record_count FROM ({sql}) x"
     for name, sql in _LOADED.items()
 )
+
+
+def _registry_rows() -> str:
+    """Rows of each extract: the first column, a key's or none's, has distinct values."""
+    parts = []
+    for rule, table in zip(RULES, itertools.cycle(("customer", "part", "supplier", "orders"))):
+        rows = kept = f"SELECT count(*) FROM {table}"
+        if len(rule.keys + rule.dates) > 6:
+            rows = "SELECT count(*) FROM lineitem"
+            kept = """SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey,
+                l_linenumber, l_quantity, l_extendedprice, l_discount FROM lineitem)"""
+        parts.append(("raw", rule.extract, rule.system, rows))
+        parts.append(("clean", rule.table, rule.system, kept))
+    return " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{name}' AS table_name, '{system}' AS source_system, "
+        f"'SUCCESS' AS status, ({count}) AS record_count"
+        for layer, name, system, count in parts
+    )
+
+
+ORACLE["registry_run"] = _registry_rows()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,10 +44,18 @@ from tristrata.plans import dimensions, facts
 from tristrata.plans.bronze import ingest_all, raw_frame
 from tristrata.plans.gold import DIMENSIONS, FACTS, build_gold
 from tristrata.plans.outcomes import attempt_all, outcome_log, sorted_log, summarize_log
-from tristrata.plans.registry import Rule
+from tristrata.plans.registry import RULES, Rule
 from tristrata.plans.reports import dimension_summary, fact_summary
 from tristrata.plans.silver import refine_all
-from tristrata.sources import Layers, create_layers, mapping_sheet, read_csv, write_table
+from tristrata.sources import (
+    Layers,
+    create_layers,
+    mapping_sheet,
+    read_csv,
+    read_mapping_sheet,
+    use_layer,
+    write_table,
+)
 
 AS_OF = datetime(2024, 1, 1)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +67,13 @@ def query(run: Query) -> Query:
     return run
 
 
+def as_csv(spark: SparkSession, df: DataFrame, name: str) -> str:
+    """Write a frame as CSV, quotes doubled, and return the place."""
+    place = shared_folder(spark, name)
+    df.write.mode("overwrite").options(header=True, escape='"').csv(place)
+    return place
+
+
 def untimed(df: DataFrame) -> DataFrame:
     return df.drop("created_timestamp", "updated_timestamp")
 
@@ -66,32 +83,56 @@ def untimed(df: DataFrame) -> DataFrame:
 
 @query
 def csv_scan(spark: SparkSession, folder: str) -> DataFrame:
-    place = shared_folder(spark)
-    orders = read(spark, folder, "orders").select(
-        "o_orderkey",
-        "o_custkey",
-        F.nullif("o_orderpriority", F.lit("5-LOW")).alias("o_orderpriority"),
-        "o_totalprice",
-        F.to_date("o_orderdate").alias("o_orderdate"),
+    """All columns under their own types."""
+    orders = read(spark, folder, "orders").withColumns(
+        {
+            "o_orderpriority": F.nullif("o_orderpriority", F.lit("5-LOW")),
+            "o_orderdate": F.to_date("o_orderdate"),
+        }
     )
-    orders.write.csv(place, header=True)
-    schema = (
-        "o_orderkey bigint, o_custkey bigint, o_orderpriority string, "
-        "o_totalprice double, o_orderdate date"
+    return read_csv(spark, as_csv(spark, orders, "csv_scan"), schema=orders.schema)
+
+
+@query
+def csv_infer(spark: SparkSession, folder: str) -> DataFrame:
+    """Types guessed from the text."""
+    orders = read(spark, folder, "orders").withColumn("o_orderdate", F.to_date("o_orderdate"))
+    return read_csv(spark, as_csv(spark, orders, "csv_infer"), infer=True)
+
+
+@query
+def csv_quotes(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole document texts, with quotes and line breaks, through CSV."""
+    docs = read(spark, folder, "documents")
+    quoted = docs.withColumn("text", F.concat(F.lit('5" pipe, "steel"\n'), "text", F.lit('\\"')))
+    place = as_csv(spark, quoted, "csv_quotes")
+    back = read_csv(spark, place, schema=quoted.schema, multi_line=True, bad_rows="bad")
+    return back.select(
+        "doc_id", F.md5("text").alias("digest"), "lang", "source", "n_chars",
+        F.col("bad").isNotNull().alias("is_bad"),
     )
-    return read_csv(spark, place, schema=schema)
+
+
+@query
+def csv_header_only(spark: SparkSession, folder: str) -> DataFrame:
+    """An extract without rows: the columns of the header, all strings."""
+    header = ",".join(read(spark, folder, "customer").columns)
+    place = shared_folder(spark, "csv_header_only")
+    spark.createDataFrame([(header,)], "line string").coalesce(1).write.mode("overwrite").text(place)
+    return read_csv(spark, place)
 
 
 @query
 def csv_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Read without a schema, codes keep their zeros."""
-    place = shared_folder(spark)
-    parts = read(spark, folder, "part").select(
-        F.lpad(F.col("p_partkey").cast("string"), 10, "0").alias("code"),
-        F.lpad(F.col("p_size").cast("string"), 2, "0").alias("size"),
+    parts = read(spark, folder, "part").withColumns(
+        {
+            "p_partkey": F.lpad(F.col("p_partkey").cast("string"), 10, "0"),
+            "p_size": F.lpad(F.col("p_size").cast("string"), 2, "0"),
+            "p_retailprice": F.col("p_retailprice").cast("decimal(15,2)"),
+        }
     )
-    parts.write.csv(place, header=True)
-    return read_csv(spark, place)
+    return read_csv(spark, as_csv(spark, parts, "csv_codes"))
 
 
 @query
@@ -102,46 +143,60 @@ def sanitize_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def bronze_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    place = shared_folder(spark)
-    read(spark, folder, "part").select(
-        F.col("p_partkey").alias("Part Key"), F.col("p_name").alias("Part (Name)"), "p_size"
-    ).write.csv(place, header=True)
+    parts = read(spark, folder, "part").withColumnsRenamed(
+        {"p_partkey": "Part Key", "p_name": "Part (Name)"}
+    )
+    parts = parts.withColumn("p_retailprice", F.col("p_retailprice").cast("decimal(15,2)"))
+    place = as_csv(spark, parts, "bronze_ingest")
     raw = raw_frame(read_csv(spark, place), "PART.csv", "SAP", AS_OF)
     return raw.withColumn(
         "_ingestion_timestamp", F.date_format("_ingestion_timestamp", "yyyy-MM-dd HH:mm:ss")
     )
 
 
-def _ingest(spark: SparkSession, folder: str) -> DataFrame:
-    place = shared_folder(spark)
+def _ingest(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    place = shared_folder(spark, name)
     present = {"SAP": ("orders", "customer", "part"), "IBP": ("supplier", "documents")}
     rules = []
     for system, tables in present.items():
         for table in tables:
-            source = read(spark, folder, table)
-            source.drop("text").write.csv(f"{place}/{system}/{table}.csv", header=True)
-            rules.append(Rule(system, table, table))
+            as_csv(spark, read(spark, folder, table), f"{name}/{system}/{table}.csv")
+            rules.append(Rule(system, table, table, multi_line=table == "documents"))
         rules.append(Rule(system, "absent", "absent"))
-    layers = _layers(spark, place)
+    layers = _layers(spark, name)
     outcomes = ingest_all(spark, {s: f"{place}/{s}" for s in present}, rules, layers)
     return outcome_log(spark, outcomes)
 
 
-def _layers(spark: SparkSession, place: str) -> Layers:
-    tag = place.rsplit("-", 1)[-1]
-    layers = Layers(f"bronze_{tag}", f"silver_{tag}", f"gold_{tag}")
-    create_layers(spark, layers, place)
+def _layers(spark: SparkSession, name: str) -> Layers:
+    layers = Layers(f"bronze_{name}", f"silver_{name}", f"gold_{name}")
+    create_layers(spark, layers, shared_folder(spark, name))
     return layers
 
 
 @query
 def ingest_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return summarize_log(_ingest(spark, folder))
+    return summarize_log(_ingest(spark, folder, "ingest_summary"))
 
 
 @query
 def ingest_log_sorted(spark: SparkSession, folder: str) -> DataFrame:
-    return sorted_log(_ingest(spark, folder)).drop("timestamp", "error")
+    return sorted_log(_ingest(spark, folder, "ingest_log_sorted")).drop("timestamp", "error")
+
+
+@query
+def layers_listed(spark: SparkSession, folder: str) -> DataFrame:
+    """The layer databases with what was loaded into one of them, by unqualified name."""
+    layers = _layers(spark, "layers_listed")
+    found = [d for d in create_layers(spark, layers) if d.endswith("layers_listed")]
+    write_table(read(spark, folder, "customer"), f"{layers.silver}.customer")
+    use_layer(spark, layers.silver)
+    try:
+        rows = spark.table("customer").count()
+    finally:
+        use_layer(spark, "default")
+    counts = [(d, rows if d == layers.silver else 0) for d in found]
+    return spark.createDataFrame(counts, "layer string, record_count bigint")
 
 
 # Cleansed layer
@@ -157,7 +212,7 @@ def silver_trim_null(spark: SparkSession, folder: str) -> DataFrame:
 def blank_values(spark: SparkSession, folder: str) -> DataFrame:
     """Whole document texts through the single-column form."""
     docs = read(spark, folder, "documents")
-    padded = F.when(F.col("lang") == "en", F.concat(F.lit("  "), "text", F.lit(" ")))
+    padded = F.concat(F.lit("  "), "text", F.lit(" "))
     return docs.select(
         "doc_id", F.md5(blank_to_null(padded)).alias("digest"),
         blank_to_null(F.lit("  ")).alias("nothing"),
@@ -179,8 +234,7 @@ def silver_dedupe(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def silver_dedupe_first_column(spark: SparkSession, folder: str) -> DataFrame:
     """Default order: by the first column."""
-    lines = read(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_quantity")
-    return keep_latest(lines, ["l_suppkey"])
+    return keep_latest(read(spark, folder, "lineitem"), ["l_suppkey"])
 
 
 @query
@@ -193,11 +247,11 @@ def silver_transform(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def silver_run(spark: SparkSession, folder: str) -> DataFrame:
     """Extract -> raw table -> cleansed table, through storage."""
-    place = shared_folder(spark)
+    place = shared_folder(spark, "silver_run")
     (lines,) = bind(spark, folder, "raw_lines")
-    lines.drop("_source_file").write.csv(f"{place}/SAP/LINES.csv", header=True)
+    as_csv(spark, lines.drop("_source_file"), "silver_run/SAP/LINES.csv")
     rules = [Rule("SAP", "LINES", "lines", ("order_id", "line"), ("shipped", "absent"))]
-    layers = _layers(spark, place)
+    layers = _layers(spark, "silver_run")
     ingest_all(spark, {"SAP": f"{place}/SAP"}, rules, layers)
     refine_all(spark, rules, layers, {"lines": ["shipped", "part", "supplier"]}, as_of=AS_OF)
     return spark.table(f"{layers.silver}.lines").drop("_silver_load_timestamp")
@@ -219,6 +273,18 @@ def mapping_projection(spark: SparkSession, folder: str) -> DataFrame:
     return apply_mapping(read(spark, folder, "events"), sheet, "events")
 
 
+@query
+def mapping_file(spark: SparkSession, folder: str) -> DataFrame:
+    """A sheet read from a file whose columns stand in another order."""
+    sheet = spark.createDataFrame(
+        [("1", "orders", "Order", "o_orderkey", ""), ("1", "orders", "Value, total", "O_TotalPrice", "x"),
+         ("0", "orders", "Clerk", "o_clerk", "left out"), ("no", "orders", "Also out", "o_custkey", "")],
+        "`Include in Gold` string, source_table string, Business_Name string, `SOURCE COLUMN` string, note string",
+    )
+    place = as_csv(spark, sheet.coalesce(1), "mapping_file")
+    return apply_mapping(read(spark, folder, "orders"), read_mapping_sheet(spark, place), "orders")
+
+
 @query
 def typed_staging(spark: SparkSession, folder: str) -> DataFrame:
     layout = fields("""
@@ -229,8 +295,14 @@ def typed_staging(spark: SparkSession, folder: str) -> DataFrame:
         l_tax            ratio     decimal(10,4)
         l_returnflag     flag      -
         l_linestatus     number    int
+        text             amount    decimal(15,2)
     """)
-    return project(read(spark, folder, "lineitem"), layout)
+    lines = read(spark, folder, "lineitem")
+    part = F.col("l_partkey").cast("string")
+    wide = F.translate(part, "0123456789", "０１２３４５６７８９")
+    forms = [part, wide, F.concat(F.lit(" +"), part, F.lit("e2 ")), F.concat(F.lit("-."), part), F.concat(part, F.lit(",5")), F.lit(" ")]
+    text = F.element_at(F.array(*forms), (F.col("l_linenumber") % len(forms) + 1).cast("int"))
+    return project(lines.withColumn("text", text), layout)
 
 
 @query
@@ -421,9 +493,16 @@ def batch_internal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def gold_run(spark: SparkSession, folder: str) -> DataFrame:
-    """All dimensions and facts through storage: rows per table."""
-    layers = _layers(spark, shared_folder(spark))
+def fact_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """A fact with its load stamps."""
+    out = facts.batch_release_external(*bind(spark, folder, "qals", "qave"), as_of=AS_OF)
+    return out.select(
+        "inspection_lot",
+        *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("created_timestamp", "updated_timestamp")],
+    )
+
+
+def _write_silver(spark: SparkSession, folder: str, layers: Layers) -> None:
     needed = " ".join(tables for _, tables in (DIMENSIONS | FACTS).values()).split()
     names = sorted(set(needed) - {"ekpo"})
     silver = dict(zip(names, bind(spark, folder, *names)))
@@ -435,8 +514,67 @@ def gold_run(spark: SparkSession, folder: str) -> DataFrame:
             for n, df in silver.items()
         },
     )
-    outcomes = build_gold(spark, layers, as_of=AS_OF)
-    return outcome_log(spark, outcomes).select("table_name", "status", "record_count")
+
+
+@query
+def gold_run(spark: SparkSession, folder: str) -> DataFrame:
+    """All dimensions and facts through storage: rows per table, and a sum over what was written."""
+    layers = _layers(spark, "gold_run")
+    _write_silver(spark, folder, layers)
+    split = {"fact_inventory_month_end_stock": ["fiscal_year"]}
+    log = outcome_log(spark, build_gold(spark, layers, as_of=AS_OF, partitions=split))
+    sums = [
+        spark.table(f"{layers.gold}.{name}").select(
+            F.lit(name).alias("table_name"), F.sum(F.length(column)).cast("bigint").alias("key_letters")
+        )
+        for name, column in GOLD_KEYS.items()
+    ]
+    return log.select("table_name", "status", "record_count").join(reduce(DataFrame.union, sums), "table_name")
+
+
+# A text column of each table.
+GOLD_KEYS = {
+    "dim_product": "material_number", "dim_batch": "batch_number", "dim_currency": "currency_code",
+    "dim_date": "month_name", "dim_storage": "plant", "dim_supplier": "supplier_number",
+    "dim_uom": "uom_code", "dim_customer": "customer_id", "dim_customer_product": "product_id",
+    "dim_location": "location_id", "dim_location_product": "product_id",
+    "fact_inventory": "batch_number", "fact_inventory_month_end_stock": "batch_number",
+    "fact_inventory_monthly_snapshot": "material_number", "fact_purchase_order": "short_text",
+    "fact_demand_actual": "product_id", "fact_demand_forecast": "product_id",
+    "fact_batch_release_external": "inspection_lot", "fact_batch_release_internal": "inspection_lot",
+}
+
+
+@query
+def gold_run_failed(spark: SparkSession, folder: str) -> DataFrame:
+    """A second run over old tables, with one cleansed table not renewed and one gone: what reads
+    them is FAILED though old tables are there."""
+    layers = _layers(spark, "gold_run_failed")
+    _write_silver(spark, folder, layers)
+    build_gold(spark, layers, as_of=AS_OF)
+    spark.sql(f"DROP TABLE {layers.silver}.mardh")
+    log = outcome_log(spark, build_gold(spark, layers, as_of=AS_OF, failed=["mara"]))
+    return log.select("table_name", "status", "record_count")
+
+
+@query
+def registry_run(spark: SparkSession, folder: str) -> DataFrame:
+    """All extracts of the registry through the raw and the cleansed layer."""
+    place = shared_folder(spark, "registry_run")
+    layers = _layers(spark, "registry_run")
+    sources = itertools.cycle(("customer", "part", "supplier", "orders"))
+    for rule, table in zip(RULES, sources):
+        names = [*rule.keys, *rule.dates]
+        df = read(spark, folder, "lineitem" if len(names) > 6 else table)
+        # The first columns take the names that the rule looks for.
+        df = df.withColumnsRenamed(dict(zip(df.columns, names)))
+        as_csv(spark, df, f"registry_run/{rule.system}/{rule.extract}.csv")
+    raw = ingest_all(spark, {s: f"{place}/{s}" for s in ("SAP", "IBP")}, RULES, layers)
+    clean = refine_all(spark, RULES, layers, as_of=AS_OF)
+    both = outcome_log(spark, raw).withColumn("layer", F.lit("raw")).union(
+        outcome_log(spark, clean).withColumn("layer", F.lit("clean"))
+    )
+    return both.select("layer", "table_name", "source_system", "status", "record_count")
 
 
 def _spread(rows: int) -> SkewPolicy:

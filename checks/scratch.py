@@ -1,14 +1,12 @@
-"""A fresh folder in the storage all executors share."""
+"""Folders in the storage that all executors share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Below the session's checkpoint folder; a temporary one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="run-")
-    return f"{base.rstrip('/')}/tristrata-{uuid.uuid4().hex}"
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """One place per application and name, below the session's checkpoint folder or, where
+    none is set, its warehouse. A query that runs again overwrites what it left."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/tristrata-{spark.sparkContext.applicationId}/{name}"

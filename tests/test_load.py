@@ -276,6 +276,74 @@ def test_csv_options(spark, tmp_path):
     assert read_csv(spark, str(file), schema="code string, n double", sep=";").collect() == [("01", 2.0)]
 
 
+def test_quoted_text(spark, tmp_path):
+    """Doubled quotes, separators, line breaks and a closing backslash stay as they are."""
+    file = tmp_path / "q.csv"
+    file.write_text('a,b\n"5"" pipe, ""steel"", x","say ""a""b"\n"c,d\\","two\nlines"\n')
+    assert read_csv(spark, str(file), multi_line=True).collect() == [
+        ('5" pipe, "steel", x', 'say "a"b'), ("c,d\\", "two\nlines"),
+    ]
+    file.write_text('a,b\n"x\\"y",1\n')
+    assert read_csv(spark, str(file), escape="\\").collect() == [('x"y', "1")]
+
+
+def test_bad_rows_are_counted(spark, tmp_path):
+    (tmp_path / "BAD.csv").write_text("A,B\n1,2\n3\n4,5,6\n7,8\n")
+    rows = read_csv(spark, str(tmp_path / "BAD.csv"), bad_rows="bad").collect()
+    assert [r.bad for r in rows] == [None, "3", "4,5,6", None]
+    assert [r.A for r in rows] == ["1", "3", "4", "7"]
+    layers = Layers("b_bronze", "b_silver", "b_gold")
+    create_layers(spark, layers, str(tmp_path / "layers"))
+    (outcome,) = ingest_all(spark, {"SAP": str(tmp_path)}, [Rule("SAP", "BAD", "bad")], layers)
+    assert (outcome.status, outcome.record_count, outcome.bad_records) == ("SUCCESS", 4, 2)
+    assert spark.table("b_bronze.sap_bad").columns[:3] == ["A", "B", "_ingestion_timestamp"]
+
+
+def test_a_rule_can_ask_for_line_breaks(spark, tmp_path):
+    (tmp_path / "TEXT.csv").write_text('A,B\n1,"x\ny"\n2,z\n')
+    layers = Layers("m_bronze", "m_silver", "m_gold")
+    create_layers(spark, layers, str(tmp_path / "layers"))
+    rules = [Rule("SAP", "TEXT", "text", multi_line=True)]
+    (outcome,) = ingest_all(spark, {"SAP": str(tmp_path)}, rules, layers)
+    assert (outcome.record_count, outcome.bad_records) == (2, 0)
+
+
+def test_failure_reaches_all_that_is_built_from_it(spark, tmp_path):
+    """A second load over old tables, with one extract gone."""
+    folders = write_extracts(tmp_path / "extracts")
+    layers = Layers("s_bronze", "s_silver", "s_gold")
+    place = str(tmp_path / "layers")
+    assert load.run(spark, folders, layers=layers, location=place).ok
+    (tmp_path / "extracts" / "SAP" / "MARDH.csv").unlink()
+    again = load.run(spark, folders, layers=layers, location=place)
+    failed = {o.table_name: o.error for o in again.failed}
+    assert set(failed) == {
+        "MARDH", "mardh", "fact_inventory_month_end_stock", "fact_inventory_monthly_snapshot"
+    }
+    assert "sap_mardh" in failed["mardh"]
+    assert "mardh" in failed["fact_inventory_month_end_stock"]
+    assert "fact_inventory_month_end_stock" in failed["fact_inventory_monthly_snapshot"]
+
+
+def test_rows_are_counted_after_the_shuffle(spark, tmp_path):
+    """The count sits in the stage that writes, whose tasks count once."""
+    create_layers(spark, Layers("c_bronze", "c_silver", "c_gold"), str(tmp_path))
+    df = spark.range(100).selectExpr("id", "id % 3 as part")
+    seen = []
+    original = type(df).observe
+
+    def observe(frame, *args):
+        seen.append(frame._jdf.queryExecution().optimizedPlan().toString())
+        return original(frame, *args)
+
+    type(df).observe = observe
+    try:
+        assert write_table(df, "c_gold.t", ["part"]) == 100
+    finally:
+        type(df).observe = original
+    assert seen and "RebalancePartitions" in seen[0]
+
+
 def test_registry():
     assert len(RULES) == 43
     assert sum(r.system == "SAP" for r in RULES) == 37

@@ -1,5 +1,5 @@
 import pytest
-from hypothesis import given
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tristrata.operators import (
@@ -13,7 +13,7 @@ from tristrata.operators import (
     project,
     without_metadata,
 )
-from tristrata.sources import mapping_sheet
+from tristrata.sources import mapping_sheet, read_mapping_sheet
 from pyspark.sql.types import StringType
 
 
@@ -106,3 +106,34 @@ def test_numbers_in_text(spark, text, number):
     got = project(df, fields("T n decimal(15,2)")).first().n
     assert (None if got is None else str(got)) == number
     assert got == df.select(df.t.try_cast("decimal(15,2)")).first()[0]
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(
+    st.text(max_size=8),
+    st.text(alphabet="0123456789１２٣４.eE+- \u00a0\u2003\t\x00\x7f\x85", max_size=8),
+), min_size=1, max_size=40))
+def test_numbers_in_any_text_equal_a_plain_cast(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    guarded = project(df, fields("t n decimal(15,2)\nt i int\nt l bigint"))
+    plain = df.select(*[df.t.try_cast(k).alias(n) for n, k in (("n", "decimal(15,2)"), ("i", "int"), ("l", "bigint"))])
+    assert guarded.collect() == plain.collect()
+
+
+def test_mapping_sheet_is_read_by_header(spark, tmp_path):
+    file = tmp_path / "sheet.csv"
+    file.write_text("Include_In_Gold,note,business_name,source_table,source_column\n1,x,key,orders,A\nno,,other,orders,B\n")
+    sheet = read_mapping_sheet(spark, str(file))
+    assert sheet.collect() == [("orders", "A", "key", 1), ("orders", "B", "other", None)]
+    df = spark.createDataFrame([(1, 2)], "A int, B int")
+    assert apply_mapping(df, sheet, "orders").columns == ["key"]
+    file.write_text("source_table,source_column,business_name\norders,A,key\n")
+    with pytest.raises(ValueError, match="include_in_gold"):
+        read_mapping_sheet(spark, str(file))
+
+
+def test_mapping_sheet_names_are_unique(spark):
+    df = spark.createDataFrame([(1, 2)], "A int, B int")
+    sheet = mapping_sheet(spark, [("t", "A", "key", 1), ("t", "B", "KEY", 1)])
+    with pytest.raises(ValueError, match="KEY"):
+        apply_mapping(df, sheet, "t")

@@ -14,8 +14,9 @@ from tristrata.operators.schema import find_column
 
 AS_READ = "-"
 EXACT_NUMBERS = ("decimal", "int", "bigint")
-# Every text that Spark reads as an exact number is made of these characters.
-_NUMBER_TEXT = r"^[\x00-\x20\x7f-\x9f0-9.eE+-]+$"
+# Every text that Spark reads as an exact number is made of these characters: blanks, control
+# characters, signs, and digits of any script.
+_NUMBER_TEXT = r"^[\p{Z}\p{C}\p{Nd}.eE+-]+$"
 
 
 class Field(NamedTuple):
@@ -65,4 +66,8 @@ def apply_mapping(df: DataFrame, sheet: DataFrame, source_table: str) -> DataFra
     absent = [r.source_column for found, r in pairs if found is None]
     if absent:
         raise ValueError(f"{source_table} has no column {', '.join(absent)}")
+    names = [r.business_name.lower() for _, r in pairs]
+    twice = [r.business_name for _, r in pairs if names.count(r.business_name.lower()) > 1]
+    if twice:
+        raise ValueError(f"{source_table} gets several columns {', '.join(twice)}")
     return df.select([quoted(found).alias(r.business_name) for found, r in pairs])

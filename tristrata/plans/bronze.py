@@ -14,6 +14,8 @@ from tristrata.plans.registry import RULES, Rule
 from tristrata.sources.csv import read_csv
 from tristrata.sources.tables import Layers, write_table
 
+BAD_ROWS = "_bad_row"
+
 
 def raw_frame(
     extract: DataFrame, source_file: str, system: str, as_of: datetime | None = None
@@ -29,14 +31,17 @@ def ingest(
     infer: bool = False,
     multi_line: bool = False,
     as_of: datetime | None = None,
-) -> int:
-    """Load one extract into its raw table; returns the rows written."""
+) -> tuple[int, int]:
+    """Load one extract into its raw table; returns the rows written and how many of them
+    had too many or too few cells, or a cell that did not fit."""
     file = f"{rule.extract}.csv"
     extract = read_csv(
-        spark, f"{folder.rstrip('/')}/{file}", infer=infer, multi_line=multi_line
+        spark, f"{folder.rstrip('/')}/{file}", infer=infer,
+        multi_line=multi_line or rule.multi_line, bad_rows=BAD_ROWS,
     )
     frame = raw_frame(extract, file, rule.system, as_of)
-    return write_table(frame, f"{layers.bronze}.{rule.raw_table}")
+    bad = frame.columns[len(extract.columns) - 1]  # as its name was cleaned
+    return write_table(frame, f"{layers.bronze}.{rule.raw_table}", bad_rows=bad)
 
 
 def ingest_all(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,22 +69,23 @@ def build_gold(
     parallel: int = 4,
     as_of: datetime | None = None,
     partitions: Mapping[str, Sequence[str]] = {},
+    failed: Iterable[str] = (),
 ) -> list[Outcome]:
     """Build every dimension and fact; ``partitions`` names the columns that a table's
-    files are split by, such as the fiscal year of month-end stock."""
-    outcomes = []
-    for tables, database in (
-        (DIMENSIONS | FACTS, layers.silver),
-        (DERIVED_FACTS, layers.gold),
-    ):
-        outcomes += attempt_all(
-            spark,
-            {
-                (name, SYSTEM): lambda n=name, b=build, s=sources, d=database: _load(
-                    spark, n, b, s, d, layers, as_of, partitions.get(n, ())
-                )
-                for name, (build, sources) in tables.items()
-            },
-            parallel,
-        )
-    return outcomes
+    files are split by, such as the fiscal year of month-end stock. What reads one of the cleansed
+    tables ``failed`` is reported and not built. A fact that is built from another one starts
+    as soon as that one is done."""
+    tables = DIMENSIONS | FACTS | DERIVED_FACTS
+    return attempt_all(
+        spark,
+        {
+            (name, SYSTEM): lambda n=name, b=build, s=sources: _load(
+                spark, n, b, s, layers.gold if n in DERIVED_FACTS else layers.silver, layers,
+                as_of, partitions.get(n, ()),
+            )
+            for name, (build, sources) in tables.items()
+        },
+        parallel,
+        needs={name: sources.split() for name, (_, sources) in tables.items()},
+        failed=failed,
+    )

@@ -51,15 +51,21 @@ def run(
     as_of: datetime | None = None,
     location: str | None = None,
     partitions: Mapping[str, Sequence[str]] = {},
+    multi_line: bool = False,
 ) -> LoadResult:
     """Load extracts into all three layers. A table that fails is reported in the
-    result and leaves the others alone."""
+    result, with all that are built from it; the others are loaded. ``multi_line`` holds for
+    every extract; a rule can ask for it alone."""
     rules = tuple(rules)
     create_layers(spark, layers, location)
-    bronze = ingest_all(spark, folders, rules, layers, parallel, infer=infer, as_of=as_of)
+    bronze = ingest_all(
+        spark, folders, rules, layers, parallel, infer=infer, multi_line=multi_line, as_of=as_of
+    )
     write_table(outcome_log(spark, bronze), f"{layers.bronze}.{LOG_TABLE}")
-    silver = refine_all(spark, rules, layers, orders, parallel, as_of)
-    gold = build_gold(spark, layers, parallel, as_of, partitions)
+    absent = [r.raw_table for r, o in zip(rules, bronze) if not o.ok]
+    silver = refine_all(spark, rules, layers, orders, parallel, as_of, absent)
+    old = [o.table_name for o in silver if not o.ok]
+    gold = build_gold(spark, layers, parallel, as_of, partitions, old)
     return LoadResult(bronze, silver, gold)
 
 

@@ -55,13 +55,15 @@ IBP  master_location_product  master_location_product  Location_ID,Product_ID
 
 @dataclass(frozen=True)
 class Rule:
-    """One extract: where it comes from and how it is cleansed."""
+    """One extract: where it comes from and how it is cleansed. ``multi_line`` says that its
+    texts hold line breaks."""
 
     system: str
     extract: str
     table: str
     keys: tuple[str, ...] = ()
     dates: tuple[str, ...] = ()
+    multi_line: bool = False
 
     @property
     def raw_table(self) -> str:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from tristrata.operators.schema import measure_columns
@@ -20,9 +22,18 @@ def _measure(name: str, source: Source) -> tuple:
         return name, 0, 0, 0, f"{FAILED}: {error}"
 
 
+def _measure_all(spark: SparkSession, sources: Mapping[str, Source], parallel: int = 4) -> list[tuple]:
+    """Several tables at a time, in the given order."""
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        running = [
+            pool.submit(inheritable_thread_target(spark)(_measure), n, s) for n, s in sources.items()
+        ]
+        return [r.result() for r in running]
+
+
 def dimension_summary(spark: SparkSession, dimensions: Mapping[str, Source]) -> DataFrame:
     """Name, rows, columns and status per dimension; an unreadable one is a FAILED row."""
-    rows = [_measure(n, s) for n, s in dimensions.items()]
+    rows = _measure_all(spark, dimensions)
     return spark.createDataFrame(
         [(name, count, width, status) for name, count, width, _, status in rows],
         "dimension string, record_count bigint, column_count bigint, status string",
@@ -32,7 +43,7 @@ def dimension_summary(spark: SparkSession, dimensions: Mapping[str, Source]) ->
 def fact_summary(spark: SparkSession, facts: Mapping[str, Source]) -> DataFrame:
     """As for dimensions, with the number of numeric columns."""
     return spark.createDataFrame(
-        [_measure(n, s) for n, s in facts.items()],
+        _measure_all(spark, facts),
         "fact_table string, record_count bigint, column_count bigint, "
         "measure_count bigint, status string",
     )

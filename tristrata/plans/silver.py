@@ -34,9 +34,12 @@ def refine_all(
     orders: Mapping[str, Sequence[str]] = {},
     parallel: int = 4,
     as_of: datetime | None = None,
+    failed: Iterable[str] = (),
 ) -> list[Outcome]:
     """Cleanse every raw table; ``orders`` says by cleansed table which record of a
-    key is the latest, where that is not its first column."""
+    key is the latest, where that is not its first column. The raw tables ``failed`` hold rows of
+    an earlier load, so theirs are reported and not built."""
+    rules = tuple(rules)
     return attempt_all(
         spark,
         {
@@ -44,4 +47,6 @@ def refine_all(
             for r in rules
         },
         parallel,
+        needs={r.table: [r.raw_table] for r in rules},
+        failed=failed,
     )

@@ -51,22 +51,27 @@ def write_table(
     table: str,
     partition_by: Sequence[str] = (),
     replace: bool = False,
-) -> int:
+    bad_rows: str | None = None,
+) -> int | tuple[int, int]:
     """Overwrite a table, schema included, and return the number of rows written.
 
     The rows are counted while they are written, so nothing runs twice. With
     ``partition_by``, rows are first rebalanced by those columns: few files per
     partition, while Spark still splits a partition that is too large for one task.
-    ``replace`` drops the old table first.
+    ``replace`` drops the old table first. ``bad_rows`` names a column that is counted where
+    it is not NULL and not written; rows and bad rows are returned then.
     """
     seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if partition_by:
-        out = out.hint("rebalance", *partition_by)
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    # The last step before the write: a shuffle's map tasks may run twice, and count twice.
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if bad_rows:
+        counts.append(F.count(bad_rows).alias("bad"))
+    out = out.observe(seen, *counts).drop(*[bad_rows] if bad_rows else [])
     if replace:
         drop_table(df.sparkSession, table)
     writer = out.write.format(TABLE_FORMAT).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
-    return seen.get["rows"]
+    return (seen.get["rows"], seen.get["bad"]) if bad_rows else seen.get["rows"]
