@@ -579,7 +579,7 @@ def registry_run(spark: SparkSession, folder: str) -> DataFrame:
 
 def _spread(rows: int) -> SkewPolicy:
     """Spread every key that holds more than a 256th of the rows."""
-    return SkewPolicy(min_bytes=0, broadcast_bytes=0, rows_per_task=max(20, rows // 256))
+    return SkewPolicy(broadcast_bytes=0, rows_per_task=max(20, rows // 256))
 
 
 @query

@@ -4,8 +4,11 @@ import pytest
 
 from tristrata.operators import SkewPolicy, attach, as_dimension, attach_key, dimension_keys, hot_keys
 from tristrata.operators.joins import _bytes
+from tristrata.operators.skew import estimated_bytes
+from tristrata.plans import facts
 
-FORCED = SkewPolicy(min_bytes=0, broadcast_bytes=0, rows_per_task=10, hot_share=0.01, buckets=16)
+FORCED = SkewPolicy(broadcast_bytes=0, rows_per_task=10, buckets=16)
+MANY = SkewPolicy(broadcast_bytes=0, rows_per_task=10, buckets=16, listed=1)
 
 
 def brute(left, right, how):
@@ -22,11 +25,12 @@ RIGHT_HOT = [("hot", i) for i in range(70)] + [("cold", 5), ("other", 6), (None,
 FEW = [("hot", 1), ("hot", 1), ("cold", 2), ("alone", 3), (None, 4)]
 
 
+@pytest.mark.parametrize("policy", [FORCED, MANY], ids=["listed", "joined"])
 @pytest.mark.parametrize("left, right, how", list(product([LEFT_HOT, FEW], [RIGHT_HOT, FEW], ["left", "inner"])))
-def test_spread_join_equals_brute_force(spark, left, right, how):
+def test_spread_join_equals_brute_force(spark, left, right, how, policy):
     lf = spark.createDataFrame(left, "k string, v int").repartition(5)
     rf = spark.createDataFrame(right, "k string, w int").repartition(3)
-    out = attach(lf, rf, ["k"], how, FORCED)
+    out = attach(lf, rf, ["k"], how, policy)
     assert out.columns == ["k", "v", "w"]
     assert sorted(map(tuple, out.collect()), key=str) == brute(left, right, how)
 
@@ -50,13 +54,71 @@ def test_hot_keys_are_exact(spark):
     df = spark.createDataFrame(
         [("a", 1)] * 50 + [("b", 1)] * 11 + [("b", 2)] * 10 + [(None, 3)] * 25, "x string, y int"
     )
-    assert hot_keys(df, ["x", "y"], FORCED) == {("a", 1): 5, ("b", 1): 2, (None, 3): 3}
+    found = hot_keys(df, ["x", "y"], FORCED).collect()
+    assert sorted(map(tuple, found), key=str) == [("a", 1, 50), ("b", 1, 11), (None, 3, 25)]
+    assert hot_keys(df, ["x", "y"], SkewPolicy(rows_per_task=60)) is None
 
 
-def test_share_bounds_the_number_of_hot_keys(spark):
-    df = spark.range(1000).selectExpr("id % 20 as k")
-    assert len(hot_keys(df, ["k"], SkewPolicy(rows_per_task=10, hot_share=0.01))) == 20
-    assert hot_keys(df, ["k"], SkewPolicy(rows_per_task=10, hot_share=0.06)) == {}
+def test_a_small_share_is_hot_all_the_same(spark):
+    """A key with less than a thousandth of its side, but more rows than a task is to have."""
+    few = spark.range(30).selectExpr("-1L as k")
+    df = spark.range(60_000).selectExpr("id as k").union(few)
+    policy = SkewPolicy(broadcast_bytes=0, rows_per_task=20)
+    assert hot_keys(df, ["k"], policy).collect() == [(-1, 30)]
+    names = spark.createDataFrame([(-1, "hot"), (5, "cold")], "k bigint, name string")
+    out = attach(df, names, ["k"], policy=policy)
+    assert "__right_salt" in out._jdf.queryExecution().analyzed().toString()
+    assert out.count() == 60_030 and out.where("name = 'hot'").count() == 30
+
+
+@pytest.fixture
+def counted(monkeypatch):
+    """The keys of every counting pass."""
+    passes = []
+
+    def note(df, keys, policy):
+        passes.append((tuple(df.columns), tuple(keys)))
+        return None
+
+    monkeypatch.setattr("tristrata.operators.skew.hot_keys", note)
+    return passes
+
+
+def frame(spark, columns):
+    return spark.createDataFrame([tuple("1" for _ in columns.split())], ", ".join(f"{c} string" for c in columns.split()))
+
+
+def test_inventory_counts_each_side_once(spark, counted):
+    facts.inventory(
+        frame(spark, "MATNR WERKS LGORT CHARG CLABS CUMLM CINSM CSPEM"),
+        frame(spark, "MATNR WERKS LGORT LABST INSME SPEME"),
+        frame(spark, "MATNR BWKEY VERPR STPRS PEINH BWTAR BKLAS"),
+        frame(spark, "MATNR WERKS CHARG LBLAB"),
+        policy=SkewPolicy(broadcast_bytes=-1),
+    )
+    assert [k for _, k in counted] == [("material_number", "plant"), ("material_number", "plant", "batch_number")]
+
+
+def test_purchase_order_counts_no_joined_frame(spark, counted):
+    facts.purchase_order(
+        frame(spark, "EBELN BSART LIFNR EKORG EKGRP WAERS STATU BEDAT ERNAM AEDAT"),
+        frame(spark, "EBELN EBELP MATNR BUKRS WERKS LGORT MATKL TXZ01 MEINS PSTYP MENGE NETPR"),
+        frame(spark, "EBELN EBELP ETENR EINDT MENGE WEMNG"), frame(spark, "EBELN EBELP VGABE MENGE DMBTR"),
+        frame(spark, "LIFNR NAME1"), frame(spark, "BUKRS BUTXT"), frame(spark, "WERKS NAME1"),
+        frame(spark, "EKGRP EKNAM"), frame(spark, "EKORG EKOTX"), policy=SkewPolicy(broadcast_bytes=-1),
+    )
+    assert len(counted) == len(set(counted)) == 7
+    assert {len(c) for c, _ in counted} == {len(facts.ORDER_HEADER), len(facts.ORDER_ITEM), len(facts.SCHEDULE_LINE)}
+
+
+def test_keys_in_another_case(spark):
+    df = spark.createDataFrame([(1, "a")], "Key int, v string")
+    assert attach(df, df.withColumnRenamed("v", "w"), ["KEY"]).collect() == [(1, "a", "a")]
+
+
+def test_unknown_sizes_are_large(spark):
+    assert estimated_bytes(object()) > 1 << 60
+    assert estimated_bytes(spark.range(3)) < 1 << 20
 
 
 def test_unique_right_side(spark):
@@ -71,7 +133,7 @@ def test_small_sides_are_not_counted(spark, monkeypatch):
     def fail(*_):
         raise AssertionError("counted")
 
-    monkeypatch.setattr("tristrata.operators.joins.hot_keys", fail)
+    monkeypatch.setattr("tristrata.operators.skew.hot_keys", fail)
     df = spark.range(10).withColumnRenamed("id", "k")
     assert attach(df, df, ["k"]).count() == 10
 

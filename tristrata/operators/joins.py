@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, MapType, StructField, StructType
+from pyspark.sql.types import MapType
 
 from tristrata.functions.text import quoted
-from tristrata.operators.skew import SkewPolicy, estimated_bytes, hot_keys
+from tristrata.operators.schema import find_column
+from tristrata.operators.skew import COUNT, KeyCounts, SkewPolicy, estimated_bytes
 
 _LEFT_FAN, _RIGHT_FAN = "__left_fan", "__right_fan"
 _LEFT_SALT, _RIGHT_SALT, _HIT = "__left_salt", "__right_salt", "__hit"
@@ -23,6 +24,9 @@ def attach(
     policy: SkewPolicy = SkewPolicy(),
     keys_from: DataFrame | None = None,
     unique: bool = False,
+    left_unique: bool = False,
+    right_keys_from: DataFrame | None = None,
+    counts: KeyCounts | None = None,
 ) -> DataFrame:
     """Join ``right`` to ``left`` on equally named keys; ``how`` is left or inner.
 
@@ -32,32 +36,56 @@ def attach(
     a salt, those on the other side are repeated once per salt. The result is that
     of the plain join.
 
-    ``keys_from`` names a frame that has the left side's keys in the same
-    proportions but is cheaper to count, such as the base table of a join chain.
-    ``unique`` says that the right side has one row per key, being grouped by it, and
-    needs no counting.
+    ``keys_from`` and ``right_keys_from`` name frames that have a side's keys in the same
+    proportions but are cheaper to count, such as the base table of a join chain.
+    ``unique`` says that the right side has about one row per key, being grouped or cleansed by it,
+    and ``left_unique`` the same of the left side; such a side needs no counting. ``counts``
+    is shared by the joins of one plan, so that none counts what another has counted.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"cannot attach with a {how} join")
     keys = list(keys)
     for k in keys:
-        if left.schema[k].dataType != right.schema[k].dataType:
-            raise ValueError(f"{k} is {left.schema[k].dataType} on one side only")
+        sides = [df.schema[find_column(df, k) or k].dataType for df in (left, right)]
+        if sides[0] != sides[1]:
+            raise ValueError(f"{k} is {sides[0]} on one side only")
     limit = policy.broadcast_bytes
     if limit is None:
         limit = _bytes(left.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     if estimated_bytes(right) <= limit:
         return left.join(right, keys, how)
 
-    counted = left if keys_from is None else keys_from
-    fans: dict[tuple, list[int]] = {}
-    for place, side in enumerate([counted] if unique else [counted, right]):
-        if estimated_bytes(side) >= policy.min_bytes:
-            for key, fan in hot_keys(side, keys, policy).items():
-                fans.setdefault(key, [1, 1])[place] = fan
-    if not fans:
+    counts = counts or KeyCounts()
+    hot_left = None if left_unique else counts.hot(left if keys_from is None else keys_from, keys, policy)
+    hot_right = None if unique else counts.hot(right if right_keys_from is None else right_keys_from, keys, policy)
+    if hot_left is None and hot_right is None:
         return left.join(right, keys, how)
-    return _spread_join(left, right, keys, how, fans)
+    fans = _fans(keys, hot_left, hot_right, policy)
+    rows = fans.limit(policy.listed + 1).collect()
+    if not rows:
+        return left.join(right, keys, how)
+    if len(rows) <= policy.listed:
+        fans = F.broadcast(left.sparkSession.createDataFrame(rows, fans.schema))
+        widest = max(max(r[_LEFT_FAN], r[_RIGHT_FAN]) for r in rows)
+    else:
+        widest = fans.agg(F.max(F.greatest(_LEFT_FAN, _RIGHT_FAN))).first()[0]
+    return _spread_join(left, right, keys, how, fans, widest)
+
+
+def _fans(
+    keys: list[str], left: DataFrame | None, right: DataFrame | None, policy: SkewPolicy
+) -> DataFrame:
+    """The number of tasks that each hot key's rows go to, on either side."""
+    parts = []
+    for hot, mine, other in ((left, _LEFT_FAN, _RIGHT_FAN), (right, _RIGHT_FAN, _LEFT_FAN)):
+        if hot is not None:
+            fan = F.ceil(F.col(COUNT) / policy.rows_per_task).cast("int")
+            named = [quoted(k).alias(k) for k in keys]
+            parts.append(hot.select(*named, fan.alias(mine), F.lit(1).alias(other)))
+    both = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return both.groupBy(*[quoted(k) for k in keys]).agg(
+        F.max(_LEFT_FAN).alias(_LEFT_FAN), F.max(_RIGHT_FAN).alias(_RIGHT_FAN)
+    )
 
 
 def _bytes(setting: str) -> int:
@@ -68,25 +96,13 @@ def _bytes(setting: str) -> int:
 
 
 def _spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str,
-    fans: dict[tuple, list[int]],
+    left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: DataFrame, widest: int
 ) -> DataFrame:
-    schema = StructType(
-        [StructField(k, left.schema[k].dataType) for k in keys]
-        + [StructField(_LEFT_FAN, IntegerType()), StructField(_RIGHT_FAN, IntegerType())]
-    )
-    # At most 2 / hot_share rows.
-    hot = F.broadcast(left.sparkSession.createDataFrame([(*k, *f) for k, f in fans.items()], schema))
-
     left_fan, right_fan = F.coalesce(_LEFT_FAN, F.lit(1)), F.coalesce(_RIGHT_FAN, F.lit(1))
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | quoted(k).isNull()
     # A row without a key matches nothing: it may go anywhere, so it goes everywhere.
-    widest = max(max(f) for f in fans.values())
 
     spread_left = (
         left.join(hot, keys, "left")

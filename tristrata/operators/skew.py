@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -11,56 +10,72 @@ from pyspark.sql import functions as F
 
 from tristrata.functions.text import quoted
 
+COUNT = "__n"
+UNKNOWN_BYTES = 1 << 62
+
 
 @dataclass(frozen=True)
 class SkewPolicy:
     """When a join key counts as hot.
 
-    A key is hot when it holds more than ``rows_per_task`` rows and more than
-    ``hot_share`` of its side, so a side has at most ``1 / hot_share`` hot keys.
-    Keys below that are left to adaptive skew handling. Sides that Spark
-    estimates below ``min_bytes`` are joined as they are, and so is a right side
-    within ``broadcast_bytes`` (default: Spark's own broadcast limit).
+    A key is hot when it holds more than ``rows_per_task`` rows, however large its side is; a side
+    has fewer hot keys than it has tasks' worth of rows. A right side within ``broadcast_bytes``
+    (default: Spark's own broadcast limit) is joined without looking for any: its join has no
+    shuffle. Up to ``listed`` hot keys are broadcast; beyond that they are joined like any
+    other table.
     """
 
-    min_bytes: int = 1 << 30
-    broadcast_bytes: int | None = None
     rows_per_task: int = 2_000_000
-    hot_share: float = 0.001
+    broadcast_bytes: int | None = None
+    listed: int = 100_000
     buckets: int = 1 << 16
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Spark's size estimate before any pruning, so rather too high; runs no job."""
-    return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    """Spark's size estimate before any pruning, so rather too high; runs no job.
+
+    The estimate has no public interface. Where it cannot be read, as over a remote connection,
+    the size counts as unknown and therefore large.
+    """
+    try:
+        return int(str(df._jdf.queryExecution().analyzed().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - not a classic session
+        return UNKNOWN_BYTES
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> dict[tuple, int]:
-    """Exact hot keys of a frame, each with the number of tasks it should spread over.
+def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> DataFrame | None:
+    """Exact hot keys of a frame with their rows (``__n``), or nothing.
 
-    Two passes over the key columns only. Rows are first counted per hash bucket:
-    a fixed number of groups, combined on the map side. A hot key can only sit in
-    a heavy bucket, so the exact count looks at those buckets alone. What comes
-    to the driver is bounded by the policy, not by the data.
+    Rows are first counted per hash bucket: a fixed number of groups, combined on the map
+    side. A hot key can only sit in a bucket with as many rows, so mostly this one pass
+    over the key columns is all. Otherwise the keys of those buckets are counted exactly.
     """
     columns = [quoted(k) for k in keys]
     bucket = F.pmod(F.xxhash64(*columns), F.lit(policy.buckets))
-    heavy = F.when(F.col("n") > policy.rows_per_task, F.struct("bucket", "n"))
-    found = (
-        df.groupBy(bucket.alias("bucket"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum("n").alias("total"), F.collect_list(heavy).alias("heavy"))
-        .first()
-    )
-    floor = max(policy.rows_per_task, math.ceil((found.total or 0) * policy.hot_share))
-    suspects = [b.bucket for b in found.heavy if b.n > floor]
-    if not suspects:
-        return {}
-    rows = (
-        df.where(bucket.isin(suspects))
-        .groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .where(F.col("__n") > floor)
-        .collect()
-    )
-    return {tuple(r)[:-1]: math.ceil(r["__n"] / policy.rows_per_task) for r in rows}
+    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    # At most ``buckets`` numbers.
+    heavy = [r.bucket for r in counts.where(F.col("n") > policy.rows_per_task).collect()]
+    if not heavy:
+        return None
+    exact = df.where(bucket.isin(heavy)).groupBy(*columns).agg(F.count(F.lit(1)).alias(COUNT))
+    return exact.where(F.col(COUNT) > policy.rows_per_task)
+
+
+class KeyCounts:
+    """Remembers which frames were counted by which keys, for the joins of one plan.
+
+    A frame without a hot key has none by more keys either.
+    """
+
+    def __init__(self) -> None:
+        self._found: dict[tuple[int, frozenset], DataFrame | None] = {}
+        self._frames: list[DataFrame] = []
+
+    def hot(self, df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> DataFrame | None:
+        mine = frozenset(k.lower() for k in keys)
+        for (frame, known), found in self._found.items():
+            if frame == id(df) and (known == mine or known < mine and found is None):
+                return found
+        self._frames.append(df)  # so that its id stays its own
+        found = self._found[id(df), mine] = hot_keys(df, keys, policy)
+        return found

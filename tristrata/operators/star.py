@@ -60,13 +60,15 @@ def attach_key(
     name: str,
     keys: Mapping[str, str],
     policy: SkewPolicy = SkewPolicy(),
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Look up a dimension's key by business keys (fact column -> dimension column).
 
     The fact keeps its grain and its rows. Those without a dimension row, or with a
-    missing business key, get NULL.
+    missing business key, get NULL. ``keys_from`` names a frame with the fact's keys that is
+    cheaper to count than the fact, such as its base table.
     """
     found = {find_column(fact, f) or f: d for f, d in keys.items()}
     known = dimension_keys(dimension, name, found)
-    out = attach(fact, known, list(found), policy=policy, unique=True)
+    out = attach(fact, known, list(found), policy=policy, keys_from=keys_from, unique=True)
     return out.select(*[quoted(c) for c in fact.columns], quoted(f"{name}_key"))

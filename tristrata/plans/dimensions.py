@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tristrata.functions.keys import single_key
 from tristrata.operators.joins import attach
 from tristrata.operators.projection import fields, project
-from tristrata.operators.skew import SkewPolicy
+from tristrata.operators.skew import KeyCounts, SkewPolicy
 from tristrata.operators.stamps import stamp_validity
 from tristrata.operators.star import as_dimension, calendar, distinct_values
 
@@ -130,7 +130,10 @@ def product(
 ) -> DataFrame:
     """Materials with their description in one language; missing texts read ``""``."""
     spoken = project(texts.where(F.col("SPRAS") == language), MATERIAL_TEXT)
-    described = attach(project(materials, MATERIAL), spoken, ["material_number"], policy=policy)
+    described = attach(
+        project(materials, MATERIAL), spoken, ["material_number"], policy=policy,
+        left_unique=True, unique=True,
+    )
     out = described.select(PRODUCT_COLUMNS).fillna("", subset=PRODUCT_TEXTS)
     return stamp_validity(out.withColumn("dim_product_key", single_key("material_number")), as_of)
 
@@ -167,7 +170,8 @@ def storage(
 ) -> DataFrame:
     """Storage locations under their plant; a plant without any keeps one row."""
     placed = attach(
-        project(plants, PLANT), project(locations, STORAGE_LOCATION), ["plant"], policy=policy
+        project(plants, PLANT), project(locations, STORAGE_LOCATION), ["plant"], policy=policy,
+        left_unique=True,
     )
     return as_dimension(
         placed.select(STORAGE_COLUMNS), "dim_storage", ["plant", "storage_location"], as_of
@@ -187,11 +191,19 @@ def supplier(
     and once more at the end. The account group adds no column, so joining its
     table could only repeat rows that the distinct removes again.
     """
-    orgs = project(supplier_orgs, SUPPLIER_ORG).distinct()
-    emails = project(supplier_companies, SUPPLIER_COMPANY).distinct()
+    orgs = project(supplier_orgs, SUPPLIER_ORG)
+    emails = project(supplier_companies, SUPPLIER_COMPANY)
     base = project(suppliers, SUPPLIER)
-    with_orgs = attach(base, orgs, ["supplier_number"], policy=policy)
-    full = attach(with_orgs, emails, ["supplier_number"], policy=policy, keys_from=orgs)
+    # Keys are counted before repeats are dropped: no distinct runs only to be counted.
+    counts = KeyCounts()
+    with_orgs = attach(
+        base, orgs.distinct(), ["supplier_number"], policy=policy,
+        left_unique=True, right_keys_from=orgs, counts=counts,
+    )
+    full = attach(
+        with_orgs, emails.distinct(), ["supplier_number"], policy=policy,
+        keys_from=orgs, right_keys_from=emails, counts=counts,
+    )
     return as_dimension(
         full.select(SUPPLIER_COLUMNS).distinct(),
         "dim_supplier",

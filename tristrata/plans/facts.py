@@ -13,7 +13,7 @@ from tristrata.functions.dates import month_end, period_start
 from tristrata.functions.text import decode
 from tristrata.operators.joins import attach
 from tristrata.operators.projection import fields, project
-from tristrata.operators.skew import SkewPolicy
+from tristrata.operators.skew import KeyCounts, SkewPolicy
 from tristrata.operators.star import as_fact
 
 # Source column, published column, type ("-" leaves it as read).
@@ -247,12 +247,17 @@ def inventory(
     shuffles the batches once instead of three times.
     """
     base = project(batch_stock, BATCH_STOCK)
-    out = attach(base, project(valuation, VALUATION), PLANT_KEYS, policy=policy)
-    for side, layout, keys in (
-        (location_stock, LOCATION_STOCK, LOCATION_KEYS),
-        (special_stock, SPECIAL_STOCK, BATCH_KEYS),
+    counts = KeyCounts()
+    # Valuation and location stock are cleansed by the keys they are joined by.
+    out = base
+    for side, layout, keys, unique in (
+        (valuation, VALUATION, PLANT_KEYS, True),
+        (location_stock, LOCATION_STOCK, LOCATION_KEYS, True),
+        (special_stock, SPECIAL_STOCK, BATCH_KEYS, False),
     ):
-        out = attach(out, project(side, layout), keys, policy=policy, keys_from=base)
+        out = attach(
+            out, project(side, layout), keys, policy=policy, keys_from=base, unique=unique, counts=counts
+        )
     dated = out.select(*INVENTORY_COLUMNS, today(as_of).alias("snapshot_date"))
     return as_fact(with_stock_totals(dated), as_of)
 
@@ -268,8 +273,11 @@ def month_end_stock(
     base = project(batch_stock, BATCH_STOCK + PERIOD)
     stock = project(location_stock, PAST_LOCATION_STOCK + PERIOD)
     price = project(valuation, PAST_VALUATION + PERIOD)
-    out = attach(base, price, PLANT_KEYS + PERIOD_KEYS, policy=policy)
-    out = attach(out, stock, LOCATION_KEYS + PERIOD_KEYS, policy=policy, keys_from=base)
+    counts = KeyCounts()
+    out = attach(base, price, PLANT_KEYS + PERIOD_KEYS, policy=policy, keys_from=base, counts=counts)
+    out = attach(
+        out, stock, LOCATION_KEYS + PERIOD_KEYS, policy=policy, keys_from=base, counts=counts
+    )
     dated = out.select(
         *MONTH_END_COLUMNS,
         month_end(F.col("fiscal_year"), F.col("fiscal_period")).alias("month_end_date"),
@@ -326,6 +334,7 @@ def purchase_order(
     the other. Deliveries are summed before they are joined, and the schedule, the
     one side that adds rows, comes last.
     """
+    counts = KeyCounts()
     header = project(headers, ORDER_HEADER)
     named = header
     for side, layout, key in (
@@ -333,7 +342,9 @@ def purchase_order(
         (groups, GROUP_NAME, "purchasing_group"),
         (orgs, ORG_NAME, "purchasing_org"),
     ):
-        named = attach(named, project(side, layout), [key], policy=policy, keys_from=header)
+        named = attach(
+            named, project(side, layout), [key], policy=policy, keys_from=header, unique=True, counts=counts
+        )
 
     item = project(items, ORDER_ITEM)
     placed = item
@@ -341,14 +352,19 @@ def purchase_order(
         (companies, COMPANY_NAME, "company"),
         (plants, PLANT_NAME, "plant"),
     ):
-        placed = attach(placed, project(side, layout), [key], policy=policy, keys_from=item)
+        placed = attach(
+            placed, project(side, layout), [key], policy=policy, keys_from=item, unique=True, counts=counts
+        )
 
-    lines = attach(placed, named, ["purchase_order"], "inner", policy, keys_from=item)
+    # Headers and items are cleansed by their keys: one row for each.
     lines = attach(
-        lines, delivered(history), ITEM_KEYS, policy=policy, keys_from=item, unique=True
+        placed, named, ["purchase_order"], "inner", policy, keys_from=item, unique=True, counts=counts
     )
     lines = attach(
-        lines, project(schedule, SCHEDULE_LINE), ITEM_KEYS, policy=policy, keys_from=item
+        lines, delivered(history), ITEM_KEYS, policy=policy, left_unique=True, unique=True, counts=counts
+    )
+    lines = attach(
+        lines, project(schedule, SCHEDULE_LINE), ITEM_KEYS, policy=policy, left_unique=True, counts=counts
     )
     received = {
         "delivered_qty": F.coalesce("delivered_qty", F.lit(0)).cast("decimal(15,3)"),
@@ -381,7 +397,9 @@ def demand_forecast(demand: DataFrame, as_of: datetime | None = None) -> DataFra
 def _batch_release(
     lots: DataFrame, decisions: DataFrame, as_of: datetime | None, policy: SkewPolicy
 ) -> DataFrame:
-    decided = attach(lots, project(decisions, USAGE_DECISION), ["inspection_lot"], policy=policy)
+    decided = attach(
+        lots, project(decisions, USAGE_DECISION), ["inspection_lot"], policy=policy, left_unique=True
+    )
     return as_fact(decided, as_of)
 
 
