@@ -1,3 +1,73 @@
-"""The queries that SQL can express, in DuckDB's SQL."""
+r"""The queries that SQL can express, in DuckDB's SQL.
 
-ORACLE: dict[str, str] = {}
+The others are beyond it: trained models, merges of byte pairs, XXH64 and a search that is
+approximate. Tests hold those against brute force, a library or held-out rows.
+"""
+
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+ORACLE: dict[str, str] = {
+    "op1_substrings": f"""
+        WITH docs AS (SELECT doc_id, {WORDS} AS words FROM documents),
+        windows AS (
+            SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS phrase
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM docs)),
+        firsts AS (SELECT phrase, min(doc_id) AS first_id FROM windows GROUP BY phrase),
+        gone AS (
+            SELECT DISTINCT doc_id, i + k AS place
+            FROM windows JOIN firsts USING (phrase), range(13) r(k) WHERE first_id < doc_id),
+        each AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM docs),
+        kept AS (
+            SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS kept, count(*) AS n_kept
+            FROM each ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+        SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed,
+            sha256(coalesce(kept, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id)""",
+    "op5_mixing": f"""
+        WITH sizes AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size FROM documents),
+        sums AS (
+            SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source),
+        weighed AS (
+            SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM sums),
+        shared AS (
+            SELECT *, row_number() OVER by_cap AS nth,
+                sum(source_size) OVER () - coalesce(3 * sum(source_size) OVER
+                    (by_cap ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over,
+                sum(weight) OVER (by_cap ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
+            FROM weighed WINDOW by_cap AS (ORDER BY source_size / weight, source NULLS LAST)),
+        first_open AS (
+            SELECT nth AS first_nth, left_over AS first_left, open AS first_sum FROM shared
+            WHERE left_over * weight <= 3 * source_size * open ORDER BY nth LIMIT 1),
+        targets AS (
+            SELECT source, source_size, CASE WHEN nth < first_nth THEN CAST(3 * source_size AS DOUBLE)
+                ELSE CAST(first_left * weight AS DOUBLE) / CAST(first_sum AS DOUBLE) END AS target
+            FROM shared, first_open),
+        copies AS (
+            SELECT s.*, source_size, target, CASE WHEN source_size > 0
+                THEN least(target / source_size, 3.0::DOUBLE) ELSE 0.0::DOUBLE END AS times,
+                (CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) + 0.5::DOUBLE)
+                    / 281474976710656.0::DOUBLE AS u
+            FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+        ranked AS (
+            SELECT *, floor(times) AS sure, times - floor(times) AS chance,
+                target - floor(times) * source_size AS wanted FROM copies),
+        placed AS (
+            SELECT *, CASE WHEN chance > 0 AND size > 0 THEN
+                (u / (1.0::DOUBLE - u)) / (chance / (1.0::DOUBLE - chance)) END AS rank FROM ranked),
+        summed AS (
+            SELECT *, sum(CASE WHEN rank IS NOT NULL THEN size END) OVER (
+                PARTITION BY source ORDER BY rank NULLS LAST, doc_id, size
+                ROWS UNBOUNDED PRECEDING) AS upto FROM placed)
+        SELECT doc_id, size, source_size, target, CAST(size * (sure + CASE WHEN rank IS NOT NULL
+            AND upto - CAST(size AS DOUBLE) / 2 <= wanted THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM summed""",
+    "op9_exact_dedup": f"""
+        WITH digests AS (
+            SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS text_sha256
+            FROM documents)
+        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+            doc_id = max(doc_id) OVER same AS kept, text_sha256
+        FROM digests WINDOW same AS (PARTITION BY text_sha256)""",
+}
