@@ -31,6 +31,12 @@ def fields(table: str) -> tuple[Field, ...]:
     return tuple(Field(*line.split()) for line in table.strip().splitlines())
 
 
+def only(layout: Sequence[Field], names: str) -> tuple[Field, ...]:
+    """The named fields of a layout, in the given order."""
+    by_name = {f.name: f for f in layout}
+    return tuple(by_name[n] for n in names.split())
+
+
 def project(df: DataFrame, layout: Sequence[Field]) -> DataFrame:
     """Pick, rename and type columns. A value that does not fit its type is NULL."""
     return df.select([_typed(df, f).alias(f.name) for f in layout])

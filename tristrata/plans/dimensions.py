@@ -109,7 +109,10 @@ PRODUCT_COLUMNS = (
     "material_number material_description material_type material_group base_uom "
     "complete_status maintenance_status xplant_status created_date last_change_date"
 ).split()
-PRODUCT_TEXTS = PRODUCT_COLUMNS[1:8]
+PRODUCT_TEXTS = (
+    "material_description material_type material_group base_uom complete_status "
+    "maintenance_status xplant_status"
+).split()
 STORAGE_COLUMNS = (
     "plant storage_location plant_name storage_location_description city country region"
 ).split()

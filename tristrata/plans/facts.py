@@ -12,7 +12,7 @@ from tristrata.functions.clock import today
 from tristrata.functions.dates import month_end, period_start
 from tristrata.functions.text import decode
 from tristrata.operators.joins import attach
-from tristrata.operators.projection import fields, project
+from tristrata.operators.projection import fields, only, project
 from tristrata.operators.skew import KeyCounts, SkewPolicy
 from tristrata.operators.star import as_fact
 
@@ -54,8 +54,10 @@ PERIOD = fields("""
 LFGJA  fiscal_year    int
 LFMON  fiscal_period  int
 """)
-PAST_LOCATION_STOCK = LOCATION_STOCK[:4]
-PAST_VALUATION = VALUATION[:4]
+PAST_LOCATION_STOCK = only(
+    LOCATION_STOCK, "material_number plant storage_location valuated_unrestricted_qty"
+)
+PAST_VALUATION = only(VALUATION, "material_number plant moving_average_price standard_price")
 
 ORDER_HEADER = fields("""
 EBELN  purchase_order    string
