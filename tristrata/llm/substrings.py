@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import ahocorasick
 import numpy as np
@@ -38,9 +39,21 @@ _PAIRS_AT_ONCE = 1 << 18
 
 
 def _anchors(phrases: np.ndarray, windows: int) -> np.ndarray:
-    """The anchor's place of each window that starts at word 0, 1, ..."""
-    seen = np.lib.stride_tricks.sliding_window_view(phrases, _SPAN)[:windows]
-    return seen.argmin(axis=1) + np.arange(windows)
+    """The anchor's place of each window that starts at word 0, 1, ...; places never go back."""
+    least, place, reach = phrases, np.arange(len(phrases)), 1
+    while reach < _SPAN:
+        # The least of twice as many phrases, or of as many as are missing.
+        step = min(reach, _SPAN - reach)
+        later = least[step:] < least[:-step]
+        least = np.where(later, least[step:], least[:-step])
+        place = np.where(later, place[step:], place[:-step])
+        reach += step
+    return place[:windows]
+
+
+def _once(places: np.ndarray) -> np.ndarray:
+    """Where a sequence that never goes back takes a new value."""
+    return np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]])) if len(places) else places
 
 
 def _windows(part: pa.RecordBatch):
@@ -90,7 +103,7 @@ def _propose(key: tuple, table: pa.Table) -> pa.Table:
     found = []
     for part in _parts(table):
         words, ids, _, anchors, phrases = _windows(part)
-        places = np.unique(anchors)
+        places = anchors[_once(anchors)]
         found.append(_reduced(phrases[places], ids[words.text[places]]))
     # A slice's reduction keeps an anchor's least document; its second one is kept as a row too.
     hashes, _, many = _gathered(
@@ -114,22 +127,27 @@ def _recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _window_hashes(part: pa.RecordBatch, wanted: np.ndarray | None):
-    """Window hashes of a slice with their texts' ids and starts; of wanted anchors only."""
+def _among(found: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted ``wanted``, and which ones are really there."""
+    place = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
+    return place, wanted[place] == found
+
+
+def _under_anchors(part: pa.RecordBatch, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and texts' ids of the windows with a wanted anchor."""
     words, ids, starts, anchors, phrases = _windows(part)
-    if wanted is not None and len(starts):
-        known = np.isin(phrases[anchors], wanted)
-        starts = starts[known]
+    first = _once(anchors)
+    _, known = _among(phrases[anchors[first]], wanted)
+    starts = starts[np.repeat(known, np.diff(np.append(first, len(anchors))))]
     runs = word_runs(words.hash, WINDOW) if len(starts) else np.empty(0, np.uint64)
-    return words, runs[starts], ids[words.text[starts]], starts
+    return runs[starts], ids[words.text[starts]]
 
 
 def _name_windows(key: tuple, table: pa.Table, sent: pa.Table) -> pa.Table:
     anchors = np.unique(sent.column("hash").to_numpy().view(np.uint64))
     found = []
     for part in _parts(table) if len(anchors) else ():
-        _, hashes, docs, _ = _window_hashes(part, anchors)
-        hashes, docs, many = _reduced(hashes, docs)
+        hashes, docs, many = _reduced(*_under_anchors(part, anchors))
         # The least document, and the mark of a second one.
         found.append((np.concatenate([hashes, hashes[many]]), np.concatenate([docs, np.full(many.sum(), _LAST_ID)])))
     hashes, docs, many = _gathered(found)
@@ -174,21 +192,19 @@ def _passages(key: tuple, table: pa.Table, asked: pa.Table) -> pa.Table:
     owner = np.full(len(names), _LAST_ID)
     held = []
     for part in _parts(table) if len(names) else ():
-        words, runs, docs, starts = _window_hashes(part, None)
-        place = np.minimum(np.searchsorted(names, runs), len(names) - 1)
-        known = names[place] == runs
-        place, docs, starts = place[known], docs[known], starts[known]
+        texts = texts_of(part.column("text"))
+        words = words_of(texts)
+        starts = np.flatnonzero(inner_runs(words.text, WINDOW))
+        place, known = _among(word_runs(words.hash, WINDOW)[starts], names)
+        place, starts = place[known], starts[known]
+        docs = part.column("doc_id").to_numpy()[words.text[starts]]
         np.minimum.at(owner, place, docs)
-        held.append((part, place, docs))
+        if len(place):
+            held.append((part, texts, words, starts, place, docs))
     taken = np.zeros(len(names), bool)
-    for part, place, docs in held:
-        mine = docs == owner[place]
-        if not mine.any():
-            continue
-        words, runs, ids, starts = _window_hashes(part, None)
-        where = np.minimum(np.searchsorted(names, runs), len(names) - 1)
-        fits = (names[where] == runs) & (ids == owner[where]) & ~taken[where]
-        fresh, once = np.unique(where[fits], return_index=True)
+    for part, texts, words, starts, place, docs in held:
+        fits = (docs == owner[place]) & ~taken[place]
+        fresh, once = np.unique(place[fits], return_index=True)
         starts = starts[fits][once]
         taken[fresh] = True
         count = stop[fresh] - at[fresh]
@@ -201,7 +217,7 @@ def _passages(key: tuple, table: pa.Table, asked: pa.Table) -> pa.Table:
         if not len(window):
             continue
         cut = np.flatnonzero((goal[1:] != goal[:-1]) | (text[1:] != text[:-1]) | (window[1:] != window[:-1] + 1)) + 1
-        data = texts_of(part.column("text")).data
+        data = texts.data
         numbers = part.column("doc_id").to_numpy()
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(window)]):
             piece = data[words.start[window[a]] : words.end[window[b - 1] + WINDOW - 1]].tobytes()
@@ -221,7 +237,7 @@ class PhraseAutomaton:
     """Anchor phrases of passages in an Aho-Corasick automaton.
 
     Words that passages have are written as three letters from three alphabets, so that a
-    phrase matches at word borders only; any other word is one letter of its own.
+    phrase matches at word borders only.
     """
 
     def __init__(self, passages: list[bytes], docs: np.ndarray):
@@ -229,52 +245,55 @@ class PhraseAutomaton:
         self.number = {w: i for i, w in enumerate(dict.fromkeys(w for ws in split for w in ws), 1)}
         base = max(int(np.ceil(len(self.number) ** (1 / 3))) + 1, 2)
         letter = lambda n, k: chr(0x100 + k * base + n)
-        self.code = {
-            w: letter(n // base**2, 0) + letter(n // base % base, 1) + letter(n % base, 2)
-            for w, n in self.number.items()
-        }
-        # Passages one after another, with room that equals no word.
-        lengths = np.array([len(ws) for ws in split])
-        self.words = np.full(int((lengths + _SPAN).sum()) + WINDOW, -2, np.int64)
+        self.written = [""] + [
+            letter(n // base**2, 0) + letter(n // base % base, 1) + letter(n % base, 2)
+            for n in self.number.values()
+        ]
+        # Passages one after another, with room between them that equals no word.
+        lengths = np.array([len(ws) for ws in split], np.int64)
+        flat = np.array([self.number[w] for ws in split for w in ws], np.int64)
+        passage = np.repeat(np.arange(len(split)), lengths)
+        at = np.arange(len(flat)) + _SPAN * (passage + 1)
+        self.words = np.full(len(flat) + _SPAN * (len(split) + 1) + WINDOW, -2, np.int64)
+        self.words[at] = flat
         self.owner = np.full(len(self.words), _LAST_ID)
+        self.owner[at] = docs[passage]
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        places: list[list[int]] = []
-        at = _SPAN
-        for ws, doc in zip(split, docs.tolist()):
-            self.words[at : at + len(ws)] = [self.number[w] for w in ws]
-            self.owner[at : at + len(ws)] = doc
-            # The phrases of the passage's windows, found as everywhere else.
-            found = words_of(texts_of(pa.array([b" ".join(ws).decode()])))
-            anchors = np.unique(_anchors(word_runs(found.hash, PHRASE), len(ws) - WINDOW + 1))
-            for place in anchors.tolist():
-                phrase = "".join([self.code[w] for w in ws[place : place + PHRASE]])
-                known = self.automaton.get(phrase, -1)
-                if known < 0:
-                    known = len(places)
-                    places.append([])
-                    self.automaton.add_word(phrase, known)
-                places[known].append(at + place)
-            at += len(ws) + _SPAN
-        self.bounds = np.cumsum([0, *map(len, places)])
-        self.places = np.array([p for ps in places for p in ps], np.int64)
-        if places:
-            self.automaton.make_automaton()
+        self.bounds, self.places = np.zeros(1, np.int64), np.empty(0, np.int64)
+        if not len(flat):
+            return
+        # The phrases of the passages' windows, found as everywhere else.
+        hashes = words_of(texts_of(pa.array([p.decode() for p in passages]))).hash
+        starts = np.flatnonzero(inner_runs(passage, WINDOW))
+        anchors = np.unique(_anchors(word_runs(hashes, PHRASE), len(flat) - WINDOW + 1)[starts])
+        phrases = flat[anchors[:, None] + np.arange(PHRASE)]
+        distinct, group = np.unique(phrases, axis=0, return_inverse=True)
+        for i, numbers in enumerate(distinct.tolist()):
+            self.automaton.add_word("".join([self.written[n] for n in numbers]), i)
+        self.automaton.make_automaton()
+        order = np.argsort(group, kind="stable")
+        self.bounds = np.searchsorted(group[order], np.arange(len(distinct) + 1))
+        self.places = at[anchors[order]]
 
     def covered(self, words: list[bytes], doc: int) -> np.ndarray:
         """Which words of a document lie in a window that a passage of an earlier document has."""
         mask = np.zeros(len(words) + 1, np.int64)
         if len(words) < WINDOW or not len(self.places):
             return mask[:-1] > 0
-        code = self.code
-        coded = [code.get(w, "!") for w in words]
-        hits = list(self.automaton.iter("".join(coded)))
+        own = np.full(len(words) + 2 * _SPAN + WINDOW, -1, np.int64)
+        numbers = own[_SPAN : _SPAN + len(words)]
+        numbers[:] = np.fromiter(map(self.number.get, words, repeat(0)), np.int64, len(words))
+        # A window has words of passages only: what parts shorter runs of them needs no search.
+        known = np.concatenate([[False], numbers > 0, [False]])
+        turns = np.flatnonzero(known[1:] != known[:-1])
+        hits = []
+        for start, stop in zip(turns[::2].tolist(), turns[1::2].tolist()):
+            if stop - start >= WINDOW:
+                text = "".join(map(self.written.__getitem__, numbers[start:stop].tolist()))
+                hits += [(start + (end + 1) // 3 - PHRASE, i) for end, i in self.automaton.iter(text)]
         if not hits:
             return mask[:-1] > 0
-        ends = np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)))
-        end, pattern = np.array(hits).T
-        place = np.searchsorted(ends, end) - PHRASE + 1
-        own = np.full(len(words) + 2 * _SPAN + WINDOW, -1, np.int64)
-        own[_SPAN : _SPAN + len(words)] = [self.number.get(w, 0) for w in words]
+        place, pattern = np.array(hits).T
         count = self.bounds[pattern + 1] - self.bounds[pattern]
         total = np.concatenate([[0], np.cumsum(count)])
         # Pairs of a hit and a place of its phrase, so many at a time.
