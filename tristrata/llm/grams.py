@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 # The bytes \x20 and \x09-\x0D part words.
 BLANKS = np.zeros(256, bool)
 BLANKS[[0x20, *range(0x09, 0x0E)]] = True
