@@ -31,7 +31,7 @@ FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
 BITS = 18
 SAMPLE_ROWS = 12_000
-SAMPLE_ENTRIES = 16_000_000
+SAMPLE_ENTRIES = 12_000_000
 CALIBRATION_SHARE = 0.2
 
 

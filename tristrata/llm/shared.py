@@ -37,7 +37,7 @@ def staged(df: DataFrame) -> DataFrame:
     """Write a frame to shared storage and read it back: its work is done once, and a
     lost executor costs no more than the running tasks."""
     place = shared_folder(df.sparkSession)
-    df.write.parquet(place)
+    df.write.option("compression", "zstd").parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 

@@ -34,12 +34,10 @@ class Rows:
 
     def sums(self, weights: np.ndarray) -> np.ndarray:
         """Each row's sum of weights."""
-        total = np.zeros(len(self.index) + 1)
-        np.cumsum(weights[self.index], out=total[1:])
-        return total[self.bounds[1:]] - total[self.bounds[:-1]]
+        return np.array([weights[self.row(i)].sum() for i in range(len(self))], float)
 
     def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self)), np.diff(self.bounds))
+        return np.repeat(np.arange(len(self), dtype=np.int32), np.diff(self.bounds))
 
 
 def text_sums(found: Features, weights: np.ndarray, texts: int) -> np.ndarray:
@@ -94,5 +92,5 @@ def sampled_rows(
         index.append(features)
         label.append(row.label)
     bounds = np.cumsum([0, *map(len, index)])
-    flat = np.concatenate(index).astype(np.int64) if index else np.empty(0, np.int64)
+    flat = np.concatenate(index).view(np.int32) if index else np.empty(0, np.int32)
     return Rows(bounds, flat, np.array(label, np.int64))

@@ -29,7 +29,7 @@ from tristrata.llm.sparse import Features, Rows, sampled_rows, text_sums
 FOLDS, HELD_OUT = 5, 0
 BITS = 20
 SAMPLE_ROWS = 16_000
-SAMPLE_ENTRIES = 16_000_000
+SAMPLE_ENTRIES = 12_000_000
 PREFIXES = (4, 5, 6)
 # A feature takes part when its shares in toxic and other sampled rows are so many standard
 # errors apart, and when so many sampled rows have it.
