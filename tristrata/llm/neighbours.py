@@ -29,6 +29,8 @@ TARGET_RECALL = 0.97
 LEAF_ROWS = 256
 # Rows of one unit of work: a larger leaf is cut into blocks.
 BLOCK_ROWS = 4096
+# Leaves visited by the end of a round, times those by the end of the round before.
+WIDENING = 4
 QUERY_ROWS = 8192
 
 
@@ -185,7 +187,11 @@ def _visits_needed(points: DataFrame, tree: Tree, nearest: int, target: float, q
 
 
 def _search(points: DataFrame, tree: Tree, visits: int, nearest: int) -> DataFrame:
-    """``asked, point, score``: each asked point's best points in the leaves it visits."""
+    """``asked, point, score``: each asked point's best points in the leaves it visits.
+
+    Visits are widened in rounds of growing length. What a round returns must be as near as the
+    last of the points that the rounds before it found, so a round adds few points a query.
+    """
     shared = points.sparkSession.sparkContext.broadcast(tree)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +204,25 @@ def _search(points: DataFrame, tree: Tree, visits: int, nearest: int) -> DataFra
 
     asked = points.where("asked").select("point", "vec")
     routed = asked.mapInArrow(route, "point bigint, vec array<double>, leaves array<bigint>")
-    routed = staged(routed).select("point", "vec", F.explode("leaves").alias("leaf"))
+    routed = staged(routed)
+    rank = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score")))
+    found, done, until = None, 0, 1
+    while done < visits:
+        leaves = F.slice("leaves", done + 1, until - done)
+        now = routed.select("point", "vec", F.explode(leaves).alias("leaf"))
+        floor = F.lit(float("-inf"))
+        if found is not None:
+            last = found.withColumn("rank", rank).where(F.col("rank") == nearest + 1)
+            now = now.join(last.select(F.col("asked").alias("point"), F.col("score").alias("last")), "point", "left")
+            floor = F.coalesce("last", floor)
+        new = staged(_visit(points, now.select("point", "vec", "leaf", floor.alias("floor")), nearest))
+        found = new if found is None else found.union(new)
+        done, until = until, WIDENING * until
+    return found
+
+
+def _visit(points: DataFrame, routed: DataFrame, nearest: int) -> DataFrame:
+    """Visits ``point, vec, leaf, floor``: the best points of each leaf, none below the floor."""
     # One row a leaf, and the number of leaves is bounded by the size of the tree's sample.
     sizes = points.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
     calls = routed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).cast("int").alias("parts"))
@@ -207,21 +231,23 @@ def _search(points: DataFrame, tree: Tree, visits: int, nearest: int) -> DataFra
     one_of = lambda n: F.pmod(F.xxhash64("point"), F.col(n)).cast("int")
     keys = ["leaf", "block", "part"]
     there = points.join(units, "leaf").select(
-        "leaf", one_of("blocks").alias("block"), everywhere("parts").alias("part"), F.lit(0).alias("kind"), "point", "vec"
+        "leaf", one_of("blocks").alias("block"), everywhere("parts").alias("part"),
+        F.lit(0).alias("kind"), "point", "vec", F.lit(0.0).alias("floor"),
     )
     here = routed.join(units, "leaf").select(
-        "leaf", everywhere("blocks").alias("block"), one_of("parts").alias("part"), F.lit(1).alias("kind"), "point", "vec"
+        "leaf", everywhere("blocks").alias("block"), one_of("parts").alias("part"),
+        F.lit(1).alias("kind"), "point", "vec", "floor",
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, numbers, vectors = None, [], []
         for batch in batches:
+            if not batch.num_rows:
+                continue
             table = np.stack([batch.column(c).to_numpy() for c in (*keys, "kind")])
             cuts = [0, *(np.flatnonzero((table[:, 1:] != table[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
             for a, b in zip(cuts, cuts[1:]):
-                *key, kind = table[:, a].tolist() if b > a else [None] * 4
-                if b == a:
-                    continue
+                *key, kind = table[:, a].tolist()
                 point = batch.column("point").to_numpy()[a:b]
                 vec = _matrix(batch.column("vec").slice(a, b - a))
                 if key != unit:
@@ -232,10 +258,12 @@ def _search(points: DataFrame, tree: Tree, visits: int, nearest: int) -> DataFra
                 elif numbers:
                     number, vector = np.concatenate(numbers), np.concatenate(vectors)
                     numbers, vectors = [number], [vector]
+                    floor = batch.column("floor").to_numpy()[a:b]
                     for at in range(0, len(point), 512):
                         q, p, score = _best(vec[at : at + 512], vector, nearest + 1)
+                        near = score >= floor[at : at + 512][q] - 1e-9
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(point[at : at + 512][q]), pa.array(number[p]), pa.array(score)],
+                            [pa.array(point[at : at + 512][q][near]), pa.array(number[p][near]), pa.array(score[near])],
                             names=["asked", "point", "score"],
                         )
 
