@@ -200,9 +200,11 @@ def _passages(key: tuple, table: pa.Table, asked: pa.Table) -> pa.Table:
         docs = part.column("doc_id").to_numpy()[words.text[starts]]
         np.minimum.at(owner, place, docs)
         if len(place):
-            held.append((part, texts, words, starts, place, docs))
+            # Only what is needed of the words: their hashes' tables take eight bytes a letter.
+            kept = [x.astype(np.int32) for x in (words.start, words.end, words.text)]
+            held.append((part, texts, kept, starts.astype(np.int32), place, docs))
     taken = np.zeros(len(names), bool)
-    for part, texts, words, starts, place, docs in held:
+    for part, texts, (word_start, word_end, word_text), starts, place, docs in held:
         fits = (docs == owner[place]) & ~taken[place]
         fresh, once = np.unique(place[fits], return_index=True)
         starts = starts[fits][once]
@@ -213,14 +215,14 @@ def _passages(key: tuple, table: pa.Table, asked: pa.Table) -> pa.Table:
         goal = target[np.repeat(at[fresh], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
         sort = np.lexsort((window, goal))
         window, goal = window[sort], goal[sort]
-        text = words.text[window]
+        text = word_text[window]
         if not len(window):
             continue
         cut = np.flatnonzero((goal[1:] != goal[:-1]) | (text[1:] != text[:-1]) | (window[1:] != window[:-1] + 1)) + 1
         data = texts.data
         numbers = part.column("doc_id").to_numpy()
         for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(window)]):
-            piece = data[words.start[window[a]] : words.end[window[b - 1] + WINDOW - 1]].tobytes()
+            piece = data[word_start[window[a]] : word_end[window[b - 1] + WINDOW - 1]].tobytes()
             out["bucket"].append(goal[a])
             out["doc_id"].append(numbers[text[a]])
             out["passage"].append(b" ".join(piece.split()))
