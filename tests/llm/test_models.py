@@ -104,6 +104,54 @@ def test_code_lengths_equal_plain_ppm():
             assert got[i, j] == pytest.approx(plain_bits(trees[lang], text.encode()), rel=1e-4, abs=1e-4)
 
 
+def nested_counts(text):
+    counts = {}
+    data = bytes(3) + text
+    for i in range(3, len(data)):
+        for order in range(4):
+            seen = counts.setdefault(data[i - order : i], {})
+            seen[data[i]] = seen.get(data[i], 0) + 1
+    return counts
+
+
+def noise(size, seed=1):
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    return "".join(random.Random(seed).choices(letters, k=size))
+
+
+def test_code_lengths_with_many_contexts_equal_plain_ppm():
+    text = noise(300_000)
+    grams, n = np.unique(language._packed(texts_of(pa.array([text]))), return_counts=True)
+    model = language.build(["x"], np.zeros(len(grams), int), grams.astype(np.int64), n)
+    counts = nested_counts(text.encode())
+    for piece in (text[:400], text[-400:], noise(400, seed=2)):
+        got = model.code_lengths(texts_of(pa.array([piece])))[0, 0]
+        assert got == pytest.approx(plain_bits(counts, piece.encode()), rel=1e-5)
+
+
+def test_a_rare_language_keeps_its_statistics_beside_a_large_one(spark):
+    """All of its counts are one, and over 400,000 of the other language's are larger."""
+    large, rare = noise(450_000), "kia ora koutou katoa"
+    rows = [(0, large, "x"), (1, large, "x"), (2, rare, "mi"), (5, rare, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r for r in language.identified(docs, language.fit(docs)).collect()}
+    assert [found[i].lang_pred for i in (0, 1, 2, 5)] == ["x", "x", "mi", "mi"]
+    assert found[5].held_out and found[5].score > 0.99
+
+
+def test_parts_of_the_model_agree_with_one(spark, tables, monkeypatch):
+    docs = tables["documents"].limit(300).unionByName(tables["documents"].limit(3))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.substring("text", 1, 9)).otherwise(F.col("text")))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    whole = language.fit(docs)
+    monkeypatch.setattr(language, "PART_COUNTS", 1)
+    parts = language.fit(docs)
+    assert (len(whole), len(parts)) == (1, 4)
+    a, b = (sorted(language.identified(docs, m).collect()) for m in (whole, parts))
+    assert [r[:3] for r in a] == [r[:3] for r in b]
+    assert np.allclose([r.score for r in a], [r.score for r in b], rtol=1e-9)
+
+
 def test_language_of_odd_documents(spark):
     docs = odd.documents(spark)
     rows = language.identified(docs, language.fit(docs)).collect()

@@ -5,8 +5,9 @@ what followed them. A byte that followed a context d distinct bytes n times in a
 the probability count / (n + d); another one costs an escape, d / (n + d), and
 is looked up in the context that is one byte shorter, down to equal shares of 256 bytes. The
 statistics are frozen after training, so the code length of a text under a language is
-exact and a sum over positions. All languages' trees are laid out in one table: a node
-for each context and a log probability for each node, byte and language.
+exact and a sum over positions. Each language has sorted arrays of its own: the contexts and
+successors that its training texts have, all of them, whatever the other languages have. Where
+the trees together are too large for one model they are dealt into parts, a language in one of them.
 """
 
 from __future__ import annotations
@@ -16,18 +17,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.llm.grams import Texts, slices, texts_of
+from tristrata.llm.shared import numbered, staged
 
 FOLDS, HELD_OUT = 4, 2
 ORDER = 3
 UNKNOWN = "und"
-# Fixed bounds of the model: distinct (language, context, byte) counts kept, the most frequent
-# first, and bytes of the table of log probabilities.
-MOST_COUNTS = 400_000
-TABLE_BYTES = 24 << 20
+# A part of the model takes further languages up to so many distinct (language, context, byte) counts.
+PART_COUNTS = 4_000_000
 _FLUSH = 1 << 20
 _ASCII_LETTERS = np.zeros(256, bool)
 _ASCII_LETTERS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
@@ -92,107 +93,105 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @dataclass
-class Model:
-    """``classes`` maps bytes to the ``width`` byte classes that the training texts have (the
-    last one: all others); ``node`` maps three classes to a row of ``logs``."""
+class Tree:
+    """One language. ``grams[k]`` are the sorted contexts of k bytes, each with a byte that followed,
+    and ``logs[k]`` their log probabilities; ``contexts[k]`` are the sorted contexts alone and
+    ``escapes[k]`` what another byte costs there."""
+
+    grams: list[np.ndarray]
+    logs: list[np.ndarray]
+    contexts: list[np.ndarray]
+    escapes: list[np.ndarray]
+
+    def log_shares(self, grams: np.ndarray) -> np.ndarray:
+        """Of each sorted gram the log probability of its last byte after the others."""
+        out = np.full(len(grams), -8.0)
+        for k in range(ORDER + 1):
+            here = grams & _ending(k)
+            place, known = _places(here >> np.uint32(8), self.contexts[k])
+            out[known] += self.escapes[k][place[known]]
+            place, known = _places(here, self.grams[k])
+            out[known] = self.logs[k][place[known]]
+        return out
 
+
+@dataclass
+class Model:
     langs: list[str]
-    classes: np.ndarray
-    width: int
-    node: np.ndarray
-    logs: np.ndarray
+    trees: list[Tree]
 
     def code_lengths(self, texts: Texts) -> np.ndarray:
         """Bits of each text under each language."""
-        seen = self.classes[texts.data]
-        start = self.classes[0]
-        context = np.zeros(len(seen), np.int64)
-        for k in range(ORDER, 0, -1):
-            before = shifted(seen, texts.bounds, k)
-            if start:
-                for j in range(k):
-                    at = texts.bounds[:-1] + j
-                    before[at[at < texts.bounds[1:]]] = start
-            context = context * self.width + before
-        place = self.node[context].astype(np.int64) * self.width + seen
+        grams, place = np.unique(_packed(texts), return_inverse=True)
+        owner = np.repeat(np.arange(len(texts)), np.diff(texts.bounds))
         out = np.empty((len(texts), len(self.langs)))
-        for i in range(len(self.langs)):
-            sums = np.zeros(len(seen) + 1)
-            np.cumsum(self.logs[i][place], out=sums[1:], dtype=np.float64)
-            out[:, i] = -(sums[texts.bounds[1:]] - sums[texts.bounds[:-1]])
+        for i, tree in enumerate(self.trees):
+            out[:, i] = np.bincount(owner, -tree.log_shares(grams)[place], len(texts))
         return out
 
 
-def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
-    """Lay out the trees; ``lang`` numbers into ``langs``, ``gram`` has three bytes and the one that followed."""
-    bytes_ = [(gram >> (8 * k)) & 255 for k in range(ORDER, -1, -1)]
-    used = np.unique(np.concatenate([b for b in bytes_] + [np.zeros(1, gram.dtype)]))
-    width = len(used) + 1
-    classes = np.full(256, len(used), np.uint8)
-    classes[used] = np.arange(len(used))
-    codes = [classes[b].astype(np.int64) for b in bytes_]
-
-    # Order 0: one node per language and the shares of single bytes.
-    tables = []
-    parent_rows = {0: np.zeros(1, np.int64)}
+def _ending(order: int) -> np.uint32:
+    """Masks a gram's last byte and the ``order`` bytes before it."""
+    return np.uint32((1 << 8 * (order + 1)) - 1)
+
+
+def _places(wanted: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted ``among``, which is not empty, and which ones are really there."""
+    place = np.minimum(np.searchsorted(among, wanted), len(among) - 1)
+    return place, among[place] == wanted
+
+
+def _tree(gram: np.ndarray, n: np.ndarray) -> Tree:
+    tree = Tree([], [], [], [])
     for order in range(ORDER + 1):
-        context = np.zeros(len(gram), np.int64)
-        for c in codes[ORDER - order : ORDER]:
-            context = context * width + c
-        total = np.bincount(context, n, width**order) if order else None
-        kept = np.flatnonzero(total) if order else np.zeros(1, np.int64)
-        room = max(TABLE_BYTES // (4 * width * len(langs)), 1)
-        if order == ORDER and len(kept) > room:
-            kept = np.sort(kept[np.argsort(-total[kept], kind="stable")[:room]])
-        row_of = np.full(width**order, -1, np.int64)
-        row_of[kept] = np.arange(len(kept))
-        if order:
-            above_rows = parent_rows[order - 1][kept % width ** (order - 1)]
-            base = tables[-1][:, above_rows, :]
-        else:
-            base = np.full((len(langs), 1, width), 1 / 256, np.float32)
-        counts = np.zeros((len(langs), len(kept), width), np.float32)
-        rows = row_of[context]
-        use = rows >= 0
-        np.add.at(counts, (lang[use], rows[use], codes[ORDER][use]), n[use])
-        all_ = counts.sum(axis=2, keepdims=True)
-        kinds = (counts > 0).sum(axis=2, keepdims=True)
-        escape = np.where(all_ > 0, kinds / np.maximum(all_ + kinds, 1), 1.0)
-        share = np.where(counts > 0, counts / np.maximum(all_ + kinds, 1), escape * base)
-        if order:
-            # A context without a node of its own is coded by the shorter one.
-            missing = row_of < 0
-            offset = len(kept)
-            shorter = parent_rows[order - 1][np.arange(width**order) % width ** (order - 1)]
-            share = np.concatenate([share, tables[-1]], axis=1) if order == ORDER else share
-            if order == ORDER:
-                row_of[missing] = shorter[missing] + offset
-            else:
-                share = np.concatenate([share, tables[-1]], axis=1)
-                row_of[missing] = shorter[missing] + offset
-        tables.append(share)
-        parent_rows[order] = row_of
-    return Model(
-        langs, classes, width, parent_rows[ORDER].astype(np.int32),
-        np.log2(tables[ORDER]).astype(np.float32).reshape(len(langs), -1),
-    )
+        here, count = _merged([gram & _ending(order)], [n])
+        context, place = np.unique(here >> np.uint32(8), return_inverse=True)
+        kinds = np.bincount(place, minlength=len(context))
+        all_ = np.bincount(place, count, len(context)) + kinds
+        tree.grams.append(here)
+        tree.logs.append(np.log2(count / all_[place]).astype(np.float32))
+        tree.contexts.append(context)
+        tree.escapes.append(np.log2(kinds / all_).astype(np.float32))
+    return tree
+
+
+def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
+    """Lay out the trees; ``lang`` numbers into ``langs``, ``gram`` has three bytes and the one that
+    followed. Every language has a gram."""
+    order = np.argsort(lang, kind="stable")
+    gram, n = gram[order].astype(np.uint32), n[order]
+    bounds = np.searchsorted(lang[order], np.arange(len(langs) + 1))
+    return Model(langs, [_tree(gram[a:b], n[a:b]) for a, b in zip(bounds, bounds[1:])])
 
 
-def fit(docs: DataFrame) -> Model | None:
+def fit(docs: DataFrame) -> list[Broadcast] | None:
     """Train on all documents outside the held-out fold that have a text and a language;
-    without any there is no model."""
+    without any there is no model. All counts of all languages are kept: parts of the model, by
+    ranges of languages, are built and broadcast one after another."""
     rows = docs.where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     ).select(F.col("text").cast("string"), F.col("lang").cast("string"))
     grams = rows.mapInArrow(_count_grams, "lang string, gram bigint, n bigint")
-    counts = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    found = counts.orderBy(F.desc("n"), "lang", "gram").limit(MOST_COUNTS).toArrow()
-    if not found.num_rows:
-        return None
-    langs = sorted(set(found.column("lang").to_pylist()))
-    number = {x: i for i, x in enumerate(langs)}
-    lang = np.array([number[x] for x in found.column("lang").to_pylist()])
-    return build(langs, lang, found.column("gram").to_numpy(), found.column("n").to_numpy())
+    counts = staged(grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    parts: list[list[str]] = []
+    room = 0
+    for lang, size in sorted(map(tuple, counts.groupBy("lang").count().collect())):
+        if size > room:
+            parts.append([])
+            room = PART_COUNTS
+        parts[-1].append(lang)
+        room -= size
+    return [_part(counts, langs) for langs in parts] or None
+
+
+def _part(counts: DataFrame, langs: list[str]) -> Broadcast:
+    found = counts.where(F.col("lang").between(langs[0], langs[-1])).toArrow().combine_chunks()
+    names = found.column("lang").combine_chunks().dictionary_encode()
+    number = np.array([langs.index(x) for x in names.dictionary.to_pylist()])
+    model = build(
+        langs, number[names.indices.to_numpy()], found.column("gram").to_numpy(), found.column("n").to_numpy()
+    )
+    return counts.sparkSession.sparkContext.broadcast(model)
 
 
 def _has_letter(texts: Texts) -> np.ndarray:
@@ -203,38 +202,72 @@ def _has_letter(texts: Texts) -> np.ndarray:
     return found
 
 
-def identified(docs: DataFrame, model: Model | None) -> DataFrame:
+def _judged(part: Broadcast):
+    """``best, lang, odds`` of each text under one part of the model: the least code length, its
+    language, and the sum of the languages' probabilities, the best one's being one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = part.value
+        for batch in batches:
+            for piece in slices(batch):
+                texts = texts_of(piece.column("text"))
+                bits = model.code_lengths(texts)
+                best = bits.argmin(axis=1)
+                least = bits.min(axis=1, keepdims=True)
+                odds = np.exp2(np.maximum(least - bits, -1000)).sum(axis=1)
+                known = _has_letter(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column("doc_id"),
+                        piece.column("row_no"),
+                        pa.array(known),
+                        pa.array(least[:, 0]),
+                        pa.array(np.array(model.langs, object)[best], pa.string()),
+                        pa.array(odds),
+                    ],
+                    names=["doc_id", "row_no", "known", "best", "lang", "odds"],
+                )
+
+    return run
+
+
+def identified(docs: DataFrame, model: list[Broadcast] | None) -> DataFrame:
     """One row per document: ``doc_id, held_out, lang_pred, score``.
 
     ``score`` is the share of the predicted language when the languages' probabilities of the
     text are brought to a sum of one; ties go to the first language in code point order.
     A null text and one without a letter are ``und`` with score 0, and so is every
     text without a model. Repeated rows get equal results; other columns play no part.
+    A model of one part, as with most tables, is one pass; otherwise each part is a pass, and
+    what they say of a row meets by its number.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trees = shared.value
-        for batch in batches:
-            for part in slices(batch):
-                texts = texts_of(part.column("text"))
-                known = _has_letter(texts) if trees else np.zeros(len(texts), bool)
-                names, score = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-                if known.any():
-                    bits = trees.code_lengths(texts)
-                    odds = np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000))
-                    best = bits.argmin(axis=1)
-                    names = np.where(known, np.array(trees.langs, object)[best], UNKNOWN)
-                    score = np.where(known, 1 / odds.sum(axis=1), 0.0)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(names, pa.string()), pa.array(score)],
-                    names=["doc_id", "lang_pred", "score"],
-                )
-
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id bigint, lang_pred string, score double").select(
+    if not model:
+        judged = rows.select("doc_id", F.lit(False).alias("known"), F.lit(UNKNOWN).alias("lang"), F.lit(1.0).alias("odds"))
+    else:
+        rows = numbered(rows, "row_no") if len(model) > 1 else rows.withColumn("row_no", F.lit(0).cast("bigint"))
+        schema = "doc_id bigint, row_no bigint, known boolean, best double, lang string, odds double"
+        passes = [rows.mapInArrow(_judged(part), schema) for part in model]
+        judged = passes[0] if len(model) == 1 else _met(passes)
+    return judged.select(
         "doc_id",
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
-        "lang_pred",
-        "score",
+        F.when(F.col("known"), F.col("lang")).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(F.col("known"), 1 / F.col("odds")).otherwise(0.0).alias("score"),
+    )
+
+
+def _met(passes: list[DataFrame]) -> DataFrame:
+    """What all parts together say of each row."""
+    every = passes[0]
+    for more in passes[1:]:
+        every = every.unionByName(more)
+    said = F.sort_array(F.collect_list(F.struct("best", "lang", "odds"))).alias("said")
+    rows = every.groupBy("row_no").agg(F.first("doc_id").alias("doc_id"), F.first("known").alias("known"), said)
+    first = F.col("said")[0]
+    odds = F.aggregate(
+        "said",
+        F.lit(0.0),
+        lambda sum_, x: sum_ + x["odds"] * F.pow(F.lit(2.0), F.greatest(first["best"] - x["best"], F.lit(-1000.0))),
     )
+    return rows.select("doc_id", "known", first["lang"].alias("lang"), odds.alias("odds"))
