@@ -50,6 +50,13 @@ def test_substrings_text_is_kept(spark):
     assert got == {1: rows[0][1], 2: "head end"}
 
 
+def test_substrings_of_a_document_with_the_id_minus_one(spark):
+    shared = "a b c d e f g h i j k l m"
+    docs = spark.createDataFrame([(-1, f"{shared} tail"), (4, f"head {shared} end")], "doc_id bigint, text string")
+    got = {r.doc_id: r.n_removed for r in substrings.without_repeats(docs.coalesce(1), 1).collect()}
+    assert got == {-1: 0, 4: 13}
+
+
 def test_exact_copies_equal_brute_force(spark):
     index = exact_dedup.DigestIndex(spark, new_index_name(), 3)
     got = exact_dedup.group_copies(odd.documents(spark), index).collect()

@@ -75,16 +75,22 @@ def _parts(table: pa.Table) -> Iterator[pa.RecordBatch]:
         yield from slices(batch)
 
 
-def _reduced(hashes: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes, each with its least document and whether it has a second one."""
+def _reduced(
+    hashes: np.ndarray, docs: np.ndarray, many: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes, each with its least document and whether it has a second one; ``many``
+    marks those that are known to have one."""
     order = np.lexsort((docs, hashes))
     hashes, docs = hashes[order], docs[order]
     first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.empty(0, int)
     last = np.append(first[1:], len(hashes)) - 1
-    return hashes[first], docs[first], docs[first] != docs[last]
+    second = docs[first] != docs[last]
+    if many is not None and len(first):
+        second |= np.logical_or.reduceat(many[order], first)
+    return hashes[first], docs[first], second
 
 
-def _gathered(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _gathered(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not found:
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool)
     return _reduced(*(np.concatenate(x) for x in zip(*found)))
@@ -105,10 +111,7 @@ def _propose(key: tuple, table: pa.Table) -> pa.Table:
         words, ids, _, anchors, phrases = _windows(part)
         places = anchors[_once(anchors)]
         found.append(_reduced(phrases[places], ids[words.text[places]]))
-    # A slice's reduction keeps an anchor's least document; its second one is kept as a row too.
-    hashes, _, many = _gathered(
-        [(np.concatenate([h, h[m]]), np.concatenate([d, np.full(m.sum(), -1)])) for h, d, m in found]
-    )
+    hashes, _, many = _gathered(found)
     return pa.table({"hash": _signed(hashes), "origin": _flags(key[0].as_py(), many)})
 
 
@@ -147,9 +150,7 @@ def _name_windows(key: tuple, table: pa.Table, sent: pa.Table) -> pa.Table:
     anchors = np.unique(sent.column("hash").to_numpy().view(np.uint64))
     found = []
     for part in _parts(table) if len(anchors) else ():
-        hashes, docs, many = _reduced(*_under_anchors(part, anchors))
-        # The least document, and the mark of a second one.
-        found.append((np.concatenate([hashes, hashes[many]]), np.concatenate([docs, np.full(many.sum(), _LAST_ID)])))
+        found.append(_reduced(*_under_anchors(part, anchors)))
     hashes, docs, many = _gathered(found)
     origin = _flags(key[0].as_py(), many) if len(key) and key[0].is_valid else pa.array([], pa.int32())
     return pa.table({"hash": _signed(hashes), "doc": pa.array(docs, pa.int64()), "origin": origin})
