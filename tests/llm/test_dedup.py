@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from tests.llm import brute, odd
@@ -50,6 +51,21 @@ def test_substrings_text_is_kept(spark):
     assert got == {1: rows[0][1], 2: "head end"}
 
 
+def test_substrings_buckets_follow_the_bytes_of_text(spark, monkeypatch):
+    def sizes(keep_text):
+        def run(key, table, sent):
+            size = sum(len(t.as_py()) for t in table.column("text"))
+            return pa.table({"doc_id": [0], "n_words": [size], "n_removed": [0], "kept_sha256": [""]})
+
+        return run
+
+    monkeypatch.setattr(substrings, "BUCKET_BYTES", 2_000, raising=False)
+    monkeypatch.setattr(substrings, "_locate", sizes)
+    docs = spark.createDataFrame([(i, f"{i:0100d}") for i in range(400)], "doc_id bigint, text string")
+    found = [r.n_words for r in substrings.without_repeats(docs).collect()]
+    assert sum(found) == 40_000 and max(found) <= 3 * 2_000
+
+
 def test_substrings_of_a_document_with_the_id_minus_one(spark):
     shared = "a b c d e f g h i j k l m"
     docs = spark.createDataFrame([(-1, f"{shared} tail"), (4, f"head {shared} end")], "doc_id bigint, text string")

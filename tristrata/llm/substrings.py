@@ -34,6 +34,8 @@ from tristrata.llm.grams import inner_runs, slices, texts_of, word_runs, words_o
 WINDOW = 13
 PHRASE = 4
 _SPAN = WINDOW - PHRASE + 1
+# The text that a bucket is to hold: what a Python worker has as one group.
+BUCKET_BYTES = 10 << 20
 _LAST_ID = (1 << 63) - 1
 _PAIRS_AT_ONCE = 1 << 18
 
@@ -82,10 +84,12 @@ def _reduced(
     marks those that are known to have one."""
     order = np.lexsort((docs, hashes))
     hashes, docs = hashes[order], docs[order]
-    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.empty(0, int)
+    if not len(hashes):
+        return hashes, docs, np.empty(0, bool)
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
     last = np.append(first[1:], len(hashes)) - 1
     second = docs[first] != docs[last]
-    if many is not None and len(first):
+    if many is not None:
         second |= np.logical_or.reduceat(many[order], first)
     return hashes[first], docs[first], second
 
@@ -352,16 +356,21 @@ def _locate(keep_text: bool):
     return run
 
 
+def _buckets(docs: DataFrame) -> int:
+    size = docs.agg(F.sum(F.octet_length(F.col("text").cast("string")))).first()[0] or 0
+    return max(-(-size // BUCKET_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def without_repeats(docs: DataFrame, buckets: int | None = None, keep_text: bool = False) -> DataFrame:
     """One row per document: ``doc_id, n_words, n_removed, kept_sha256``, with ``keep_text`` also ``kept_text``.
 
     A word goes when a window of 13 words that covers it also starts in a document with a
     smaller doc_id. Null and empty texts have no words, and texts of fewer words than a window
     keep all. Rows of equal doc_id do not count as earlier than each other; a null doc_id is
-    later than all. Other columns play no part. ``buckets`` (default: the shuffle partitions) should
-    give about 32 MB of text to each.
+    later than all. Other columns play no part. ``buckets`` should give about 10 MB of text to
+    each; by default they are counted from the texts' bytes, at least as many as shuffle partitions.
     """
-    n = buckets or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or _buckets(docs)
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST_ID)).alias("doc_id"),
         F.col("text").cast("string").alias("text"),
