@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.llm import odd
 from tristrata.llm import language, quality, toxicity
 from tristrata.llm.grams import texts_of, words_of
-from tristrata.llm.sparse import Rows
+from tristrata.llm.sparse import Rows, sampled_rows
 
 DATA = "/root/testdata/sf0.01"
 
@@ -47,6 +47,27 @@ def test_toxicity_on_held_out_documents(tables):
         assert 0 <= r.score <= 1 and 0 <= r.severity <= 2 and r.predicted == int(r.score >= 0.5)
 
 
+def test_long_texts_do_not_shorten_the_toxicity_sample(spark, monkeypatch):
+    """60 texts with 4,000 indicators or more each; the fit has them all and equals that on all indicators."""
+    rnd = random.Random(4)
+    rows = []
+    for i in range(60):
+        words = ["".join(rnd.choices("abcdefghij", k=8)) for _ in range(1000)]
+        rows.append((i, " ".join(words + ["vile"] * (i % 2) + ["kind"] * (1 - i % 2))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    marks = labels(spark, [(i, 1, i % 2) for i in range(60)])
+    sizes = []
+    plain = toxicity.fit_rows
+    monkeypatch.setattr(toxicity, "fit_rows", lambda r, g: sizes.append((len(r), len(r.index))) or plain(r, g))
+    model = toxicity.fit(docs, marks)
+    kept = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 != 0]
+    train = marks.where(F.col("doc_id").isin(kept)).select("doc_id", F.col("toxic").alias("label"))
+    whole = sampled_rows(docs, train, toxicity.features, 60, 10**9)
+    want = plain(whole, toxicity.severity_grades(whole))
+    assert np.array_equal(model.weights, want.weights) and np.array_equal(model.thresholds, want.thresholds)
+    assert sizes[0][0] == len(kept) and sizes[0][1] < len(whole.index) / 10
+
+
 def test_language_on_held_out_documents(tables):
     docs = tables["documents"]
     found = language.identified(docs, language.fit(docs))

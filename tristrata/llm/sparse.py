@@ -45,28 +45,66 @@ def text_sums(found: Features, weights: np.ndarray, texts: int) -> np.ndarray:
     return sum((np.bincount(text, weights[feature], texts) for text, feature in found), np.zeros(texts))
 
 
+def _picked(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """``doc_id, text, _label`` of the labelled documents of the sample."""
+    picked = (
+        labels.where("doc_id is not null and label is not null")
+        .select(F.col("doc_id").alias("_id"), F.col("label").cast("int").alias("_label"))
+        .orderBy(F.xxhash64("_id"), "_id", "_label")
+        .limit(rows)
+    )
+    # Bounded by ``rows``.
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
+    return texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).drop("_id")
+
+
+def class_counts(
+    docs: DataFrame, labels: DataFrame, featurise: Featurise, rows: int, width: int
+) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Of ``width`` features the sampled rows with label 1 that have each, the other rows that have it,
+    and both kinds' rows; counted in Spark, so that only counts meet on the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last place counts the rows.
+        counts = np.zeros((2, width + 1), np.int64)
+        for batch in batches:
+            for part in slices(batch):
+                column = texts_of(part.column("text"))
+                marked = part.column("_label").to_numpy() == 1
+                for number, feature in featurise(column):
+                    inside = marked[number]
+                    counts[1] += np.bincount(feature[inside], minlength=width + 1)
+                    counts[0] += np.bincount(feature[~inside], minlength=width + 1)
+                counts[:, width] += [(~marked).sum(), marked.sum()]
+        found = np.flatnonzero(counts.any(axis=0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found), pa.array(counts[1, found]), pa.array(counts[0, found])],
+            names=["feature", "inside", "outside"],
+        )
+
+    parts = _picked(docs, labels, rows).mapInArrow(run, "feature bigint, inside bigint, outside bigint")
+    sums = parts.groupBy("feature").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).toArrow()
+    counts = np.zeros((2, width + 1), np.int64)
+    for i, name in enumerate(("inside", "outside")):
+        counts[i, sums.column("feature").to_numpy()] = sums.column(name).to_numpy()
+    return counts[0, :width], counts[1, :width], int(counts[0, width]), int(counts[1, width])
+
+
 def sampled_rows(
     docs: DataFrame,
     labels: DataFrame,
     featurise: Featurise,
     rows: int,
-    entries: int,
+    entries: int | None,
 ) -> Rows:
     """At most ``rows`` labelled documents (``doc_id, label``; null labels are left out) in an
-    order drawn from their ids, as indicator rows on the driver; reading ends after ``entries`` indicators.
+    order drawn from their ids, as indicator rows on the driver; reading ends after ``entries`` indicators,
+    or without such a bound after ``rows`` rows.
 
     The ids are picked first, so only their texts are read into Python. Both bounds are
     parameters of the fit and do not depend on the size of the tables.
     """
-    picked = (
-        labels.where("doc_id is not null and label is not null")
-        .select(F.col("doc_id").alias("_id"), F.col("label").cast("int").alias("_label"))
-        .orderBy(F.xxhash64("_id"), "_id", "_label")
-        .limit(rows)
-    )
-    # Bounded by ``rows``.
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    met = texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).drop("_id")
+    met = _picked(docs, labels, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,9 +124,13 @@ def sampled_rows(
     index, label, room = [], [], entries
     for row in found.orderBy(F.xxhash64("doc_id"), "doc_id", "packed").toLocalIterator():
         features = np.frombuffer(row.packed, "<u4")
-        room -= len(features)
-        if room < 0 and label:
-            break
+        if room is None:
+            if len(label) == rows:
+                break
+        else:
+            room -= len(features)
+            if room < 0 and label:
+                break
         index.append(features)
         label.append(row.label)
     bounds = np.cumsum([0, *map(len, index)])

@@ -24,12 +24,11 @@ from tristrata.llm.grams import (
     texts_of,
     words_of,
 )
-from tristrata.llm.sparse import Features, Rows, sampled_rows, text_sums
+from tristrata.llm.sparse import Features, Rows, class_counts, sampled_rows, text_sums
 
 FOLDS, HELD_OUT = 5, 0
 BITS = 20
 SAMPLE_ROWS = 16_000
-SAMPLE_ENTRIES = 12_000_000
 PREFIXES = (4, 5, 6)
 # A feature takes part when its shares in toxic and other sampled rows are so many standard
 # errors apart, and when so many sampled rows have it.
@@ -77,8 +76,11 @@ def _shares(rows: Rows, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def telling(rows: Rows, toxic: np.ndarray) -> np.ndarray:
     """Which features tell toxic rows from the others."""
-    inside, outside = _shares(rows, toxic)
-    n1, n0 = max(toxic.sum(), 1), max((~toxic).sum(), 1)
+    return _far_apart(*_shares(rows, toxic), toxic.sum(), (~toxic).sum())
+
+
+def _far_apart(inside: np.ndarray, outside: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    n1, n0 = max(n1, 1), max(n0, 1)
     pooled = (inside + outside + 0.5) / (n1 + n0 + 1)
     error = np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
     far = np.abs(inside / n1 - outside / n0) >= LEAST_ERRORS * error
@@ -151,12 +153,20 @@ def fit_rows(
     return Model(weights.astype(np.float32), thresholds)
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, entries: int = SAMPLE_ENTRIES
-) -> Model:
-    """Fit on a bounded sample of the labelled documents (``toxic`` 0 or 1) outside the held-out fold."""
+def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
+    """Fit on a bounded sample of the labelled documents (``toxic`` 0 or 1) outside the held-out fold.
+
+    The fit uses telling features alone. They are found by counts in Spark, and only they are
+    brought to the driver, so the sample has its rows however long the texts are. With repeated ids
+    in the documents the counts are those of all their rows.
+    """
     train = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("label"))
-    found = sampled_rows(docs, train, features, rows, entries)
+    use = _far_apart(*class_counts(docs, train, features, rows, 1 << BITS))
+
+    def chosen(texts: Texts) -> Features:
+        return [(number[use[feature]], feature[use[feature]]) for number, feature in features(texts)]
+
+    found = sampled_rows(docs, train, chosen, rows, None)
     return fit_rows(found, severity_grades(found))
 
 
