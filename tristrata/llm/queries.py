@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm import bpe, exact_dedup, language, mixing, neighbours, personal_data, quality, simhash, substrings, toxicity
+from tristrata.llm import (
+    bpe,
+    exact_dedup,
+    fill_in_middle,
+    language,
+    mixing,
+    neighbours,
+    personal_data,
+    quality,
+    quality_rules,
+    simhash,
+    spelling,
+    substrings,
+    toxicity,
+)
 from tristrata.llm.shared import new_index_name, read_table, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,3 +95,18 @@ def op9_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_copies(read_table(spark, folder, "documents"))
+
+
+@query
+def op11_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.rated(read_table(spark, folder, "documents"))
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_in_middle.digests(fill_in_middle.transformed(read_table(spark, folder, "documents")))
+
+
+@query
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(read_table(spark, folder, "documents"))
