@@ -187,12 +187,10 @@ def fit_patterns(
     in order, so runs agree.
     """
     order = sorted(range(len(patterns)), key=patterns.__getitem__)
-    votes = np.array([list(patterns[i]) for i in order], dtype="<U1").reshape(len(order), -1)
+    width = len(patterns[0]) if patterns else len(RULES)
+    votes = np.array([list(patterns[i]) for i in order], dtype="<U1").reshape(len(order), width)
     weight = np.array([documents[i] for i in order], float)
     is_bad, is_good = (votes == BAD).astype(float), (votes == GOOD).astype(float)
-    width = votes.shape[1] if len(order) else len(RULES)
-    if not len(order):
-        is_bad = is_good = np.zeros((0, width))
     on_bad, on_good, share = np.full(width, caught), np.full(width, cleared), bad_share
     for _ in range(rounds):
         bad, good = _evidence(on_bad, on_good)
