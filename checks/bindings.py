@@ -245,6 +245,17 @@ BINDINGS: dict[str, str] = {
            case when toxic = 1 then 'BLOCK' end as VFOLGEAKTI,
            '2024-02-01' as VDATUM, quality as VAUSWAHLMG
     from {labels}""",
+    "hot_qals": """
+    select case when doc_id % 3 = 0 then 'hot' else cast(doc_id as string) end as PRUEFLOS,
+           cast(doc_id as string) as MATNR, source as WERK, source as LIFNR, lang as EBELN, '10' as EBELP,
+           case when lang = 'en' then '04' when lang = 'de' then null else '01' end as ART,
+           '2024-01-02' as ENSTEHDAT, '2024-01-03' as BUDAT, n_chars as LOSMENGE, n_chars as GESSTICHPR
+    from {documents}""",
+    "hot_qave": """
+    select case when doc_id < 5 then 'hot' else cast(doc_id as string) end as PRUEFLOS,
+           cast(quality as string) as VBEWERTUNG, cast(toxic as string) as DBEWERTUNG,
+           cast(doc_id as string) as VFOLGEAKTI, '2024-02-01' as VDATUM, quality as VAUSWAHLMG
+    from {labels}""",
     "padded_customers": """
     select c_custkey as id, '  ' || c_name || ' ' as name,
            case when c_mktsegment = 'MACHINERY' then '   ' else c_mktsegment end as segment,

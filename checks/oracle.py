@@ -193,15 +193,15 @@ LEFT JOIN (SELECT DISTINCT * FROM lfm1) m ON a.LIFNR = m.LIFNR
 LEFT JOIN (SELECT DISTINCT LIFNR, INTAD FROM lfb1) b ON a.LIFNR = b.LIFNR"""
 
 
-def release(test: str) -> str:
-    return f"""{ctes("qals", "qave")}
+def release(test: str, lots: str = "qals", decisions: str = "qave") -> str:
+    return f"""{ctes(lots, decisions)}
 SELECT q.PRUEFLOS AS inspection_lot, MATNR AS material_number, WERK AS plant,
     LIFNR AS supplier_number, EBELN AS purchase_order, EBELP AS po_item, ART AS inspection_type,
     ENSTEHDAT AS inspection_start_date, BUDAT AS posting_date, {dec("LOSMENGE", 15, 3)} AS lot_size,
     {dec("GESSTICHPR", 15, 3)} AS sample_size, VBEWERTUNG AS usage_decision,
     DBEWERTUNG AS defect_assessment, VFOLGEAKTI AS follow_up_action, VDATUM AS decision_date,
     {dec("VAUSWAHLMG", 15, 3)} AS selected_qty
-FROM qals q LEFT JOIN qave a ON q.PRUEFLOS = a.PRUEFLOS WHERE {test}"""
+FROM {lots} q LEFT JOIN {decisions} a ON q.PRUEFLOS = a.PRUEFLOS WHERE {test}"""
 
 
 INGESTED = [
@@ -245,7 +245,31 @@ ORACLE: dict[str, str] = {
         FROM orders""",
     "csv_quotes": """SELECT doc_id, md5('5" pipe, "steel"' || chr(10) || text || chr(92) || '"') AS digest,
         lang, source, n_chars, FALSE AS is_bad FROM documents""",
-    "csv_header_only": "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM customer WHERE FALSE",
+    "csv_header_only": """SELECT 'FULL' AS table_name, (SELECT count(*) FROM customer) AS record_count,
+        'string' AS types, CAST(COLUMNS(*) AS VARCHAR) FROM customer
+        UNION ALL BY NAME SELECT 'EMPTY' AS table_name, 0 AS record_count, 'string' AS types""",
+    "profiled_load": " UNION ALL ".join(
+        f"SELECT count(*) AS row_count, CAST(8 AS BIGINT) AS column_count, '{c}' AS column_name, "
+        f"count(*) - count({e}) AS null_count FROM ({ctes('padded_customers')} SELECT * FROM padded_customers)"
+        for c, e in (("id", "id"), ("name", "name"), ("segment", "nullif(trim(segment), '')"), ("nation", "nullif(nation, '')"))
+    ),
+    "overwrite_failed": """SELECT 'kept' AS step, 'FAILED' AS status, 'OLD' AS readable,
+        (SELECT count(*) FROM orders) AS readable_rows,
+        CAST((SELECT count(DISTINCT o_orderstatus) FROM orders) AS INTEGER) AS partitions,
+        o_orderkey, o_orderstatus, o_totalprice FROM orders
+        UNION ALL SELECT 'renewed', 'SUCCESS', 'NEW', (SELECT count(*) FROM orders), 0,
+        o_orderkey, NULL, o_totalprice FROM orders""",
+    "stock_buckets": INVENTORY,
+    "batch_spread": " UNION ALL ".join(
+        f"SELECT *, '{name}' AS release FROM ({release(test, 'hot_qals', 'hot_qave')})"
+        for name, test in (("external", "ART = '04'"), ("internal", "ART <> '04'"))
+    ),
+    "lookup_many_keys": """SELECT CAST(CASE WHEN l_suppkey < 4 THEN -l_suppkey
+        ELSE l_orderkey * 8 + l_linenumber END AS BIGINT) AS line_key, l_quantity,
+        CASE WHEN l_suppkey < 4 THEN s_name END AS supplier_name
+        FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey""",
+    "lookup_absent_keys": """SELECT s_suppkey AS supplier, s_name, l_orderkey, l_linenumber
+        FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey AND s_suppkey > 3""",
     "csv_codes": f"""SELECT * REPLACE (lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS p_partkey,
         lpad(CAST(p_size AS VARCHAR), 2, '0') AS p_size,
         CAST({dec("p_retailprice", 15, 2)} AS VARCHAR) AS p_retailprice) FROM part""",
@@ -462,6 +486,16 @@ ORACLE["gold_run_failed"] = " UNION ALL ".join(
     for name, sql in _LOADED.items()
 )
 
+ORACLE["gold_write_failed"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS table_name, '{status}' AS status, CAST({count} AS BIGINT) AS record_count, "
+    f"'{readable}' AS readable, count(*) AS readable_rows, {_LETTERS[name]} AS key_letters FROM ({sql}) x"
+    for name, sql in _LOADED.items()
+    for status, count, readable in [
+        ("FAILED", "0", "OLD") if name == "fact_purchase_order" else ("SUCCESS", "count(*)", "NEW")
+    ]
+)
+ORACLE["written_summary"] = ORACLE["facts_summary"]
+
 
 def _registry_rows() -> str:
     """Rows of each extract: the first column, a key's or none's, has distinct values."""

@@ -43,16 +43,21 @@ from tristrata.operators import (
 from tristrata.plans import dimensions, facts
 from tristrata.plans.bronze import ingest_all, raw_frame
 from tristrata.plans.gold import DIMENSIONS, FACTS, build_gold
-from tristrata.plans.outcomes import attempt_all, outcome_log, sorted_log, summarize_log
+from tristrata.plans.load import check_raw
+from tristrata.plans.outcomes import attempt, attempt_all, outcome_log, sorted_log, summarize_log
 from tristrata.plans.registry import RULES, Rule
 from tristrata.plans.reports import dimension_summary, fact_summary
-from tristrata.plans.silver import refine_all
+from tristrata.plans.silver import refine_all, stock_layouts
 from tristrata.sources import (
     Layers,
+    Layout,
     create_layers,
     mapping_sheet,
     read_csv,
     read_mapping_sheet,
+    recorded,
+    store,
+    store_split,
     use_layer,
     write_table,
 )
@@ -115,11 +120,26 @@ def csv_quotes(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def csv_header_only(spark: SparkSession, folder: str) -> DataFrame:
-    """An extract without rows: the columns of the header, all strings."""
-    header = ",".join(read(spark, folder, "customer").columns)
-    place = shared_folder(spark, "csv_header_only")
-    spark.createDataFrame([(header,)], "line string").coalesce(1).write.mode("overwrite").text(place)
-    return read_csv(spark, place)
+    """One ingest of a whole extract and one with a header alone: rows, counts and types of both."""
+    name = "csv_header_only"
+    customers = read(spark, folder, "customer")
+    as_csv(spark, customers, f"{name}/SAP/FULL.csv")
+    header = spark.createDataFrame([(",".join(customers.columns),)], "line string")
+    place = shared_folder(spark, name)
+    header.coalesce(1).write.mode("overwrite").text(f"{place}/SAP/EMPTY.csv")
+    layers = _layers(spark, name)
+    rules = [Rule("SAP", extract, extract.lower()) for extract in ("FULL", "EMPTY")]
+    log = outcome_log(spark, ingest_all(spark, {"SAP": f"{place}/SAP"}, rules, layers))
+    tables = [spark.table(f"{layers.bronze}.{r.raw_table}").select(*customers.columns) for r in rules]
+    types = spark.createDataFrame(
+        [(r.extract, ",".join(sorted({t for _, t in df.dtypes}))) for r, df in zip(rules, tables)],
+        "table_name string, types string",
+    )
+    rows = reduce(
+        DataFrame.union, [df.select(F.lit(r.extract).alias("table_name"), "*") for r, df in zip(rules, tables)]
+    )
+    counted = log.select("table_name", "record_count").join(types, "table_name")
+    return counted.join(rows, "table_name", "left")
 
 
 @query
@@ -174,6 +194,21 @@ def _layers(spark: SparkSession, name: str) -> Layers:
     return layers
 
 
+@query
+def profiled_load(spark: SparkSession, folder: str) -> DataFrame:
+    """NULLs per column of a raw table, counted while it was written and read back without a scan."""
+    (customers,) = bind(spark, folder, "padded_customers")
+    as_csv(spark, customers.drop("_load"), "profiled_load/SAP/CUSTOMERS.csv")
+    layers, rules = _layers(spark, "profiled_load"), [Rule("SAP", "CUSTOMERS", "customers")]
+    folders = {"SAP": f"{shared_folder(spark, 'profiled_load')}/SAP"}
+    ingest_all(spark, folders, rules, layers, profiled=[rules[0].raw_table])
+    (check,) = check_raw(spark, [rules[0].raw_table], layers).values()
+    return spark.createDataFrame(
+        [(check.rows, check.columns, c, n) for c, n in check.nulls.items()],
+        "row_count bigint, column_count bigint, column_name string, null_count bigint",
+    )
+
+
 @query
 def ingest_summary(spark: SparkSession, folder: str) -> DataFrame:
     return summarize_log(_ingest(spark, folder, "ingest_summary"))
@@ -181,7 +216,8 @@ def ingest_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def ingest_log_sorted(spark: SparkSession, folder: str) -> DataFrame:
-    return sorted_log(_ingest(spark, folder, "ingest_log_sorted")).drop("timestamp", "error")
+    log = sorted_log(_ingest(spark, folder, "ingest_log_sorted"))
+    return log.drop("timestamp", "error", "readable", "readable_rows", "null_counts")
 
 
 @query
@@ -523,13 +559,18 @@ def gold_run(spark: SparkSession, folder: str) -> DataFrame:
     _write_silver(spark, folder, layers)
     split = {"fact_inventory_month_end_stock": ["fiscal_year"]}
     log = outcome_log(spark, build_gold(spark, layers, as_of=AS_OF, partitions=split))
-    sums = [
+    sums = _letters(spark, layers)
+    return log.select("table_name", "status", "record_count").join(reduce(DataFrame.union, sums), "table_name")
+
+
+def _letters(spark: SparkSession, layers: Layers) -> list[DataFrame]:
+    """Of each gold table a sum over what was written."""
+    return [
         spark.table(f"{layers.gold}.{name}").select(
             F.lit(name).alias("table_name"), F.sum(F.length(column)).cast("bigint").alias("key_letters")
         )
         for name, column in GOLD_KEYS.items()
     ]
-    return log.select("table_name", "status", "record_count").join(reduce(DataFrame.union, sums), "table_name")
 
 
 # A text column of each table.
@@ -557,6 +598,87 @@ def gold_run_failed(spark: SparkSession, folder: str) -> DataFrame:
     return log.select("table_name", "status", "record_count")
 
 
+@query
+def gold_write_failed(spark: SparkSession, folder: str) -> DataFrame:
+    """A second run in which one fact fails while it is written: it is FAILED, and what can be read
+    under its name are all rows of the first run."""
+    layers = _layers(spark, "gold_write_failed")
+    _write_silver(spark, folder, layers)
+    build_gold(spark, layers, as_of=AS_OF)
+    lines = f"{layers.silver}.eket"
+    spark.sql(f"ALTER TABLE {lines} RENAME TO {lines}_whole")
+    spark.sql(
+        f"""CREATE VIEW {lines} AS SELECT EBELN, EBELP, ETENR, EINDT, MENGE, CASE WHEN EBELP = '3'
+        THEN CAST(raise_error('a broken row') AS DOUBLE) ELSE WEMNG END AS WEMNG FROM {lines}_whole"""
+    )
+    try:
+        log = outcome_log(spark, build_gold(spark, layers, as_of=AS_OF))
+    finally:
+        spark.sql(f"DROP VIEW {lines}")
+        spark.sql(f"ALTER TABLE {lines}_whole RENAME TO {lines}")
+    found = log.select("table_name", "status", "record_count", "readable", "readable_rows")
+    return found.join(reduce(DataFrame.union, _letters(spark, layers)), "table_name")
+
+
+@query
+def overwrite_failed(spark: SparkSession, folder: str) -> DataFrame:
+    """A load that fails half-way leaves rows, schema and partitions; a rerun then replaces all three."""
+    layers = _layers(spark, "overwrite_failed")
+    table = f"{layers.gold}.orders"
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    store(orders, table, Layout(["o_orderstatus"]))
+    broken = F.raise_error(F.lit("a broken row")).cast("double")
+    late = orders.select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 100 == 99, broken).otherwise(F.col("o_totalprice")).alias("value")
+    )
+    for step, frame in (("kept", late), ("renewed", orders.drop("o_orderstatus"))):
+        outcome = attempt(table, "GOLD", lambda df=frame: store(df, table), spark, table)
+        now = spark.table(table)
+        folders = spark.sql(f"SHOW PARTITIONS {table}").count() if "o_orderstatus" in now.columns else 0
+        found = now.select(
+            F.lit(step).alias("step"), F.lit(outcome.status).alias("status"),
+            F.lit(outcome.readable).alias("readable"),
+            F.lit(outcome.readable_rows).cast("bigint").alias("readable_rows"),
+            F.lit(folders).alias("partitions"), *now.columns,
+        )
+        store(found, f"{layers.silver}.{step}")
+    steps = [spark.table(f"{layers.silver}.{step}") for step in ("kept", "renewed")]
+    return steps[0].unionByName(steps[1], allowMissingColumns=True)
+
+
+@query
+def stock_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """Current stock from cleansed tables in buckets by material and plant, without a shuffle."""
+    layers = _layers(spark, "stock_buckets")
+    names = ("mchb", "mard", "mbew", "mslb")
+    layouts = stock_layouts(8)
+    for name, df in zip(names, bind(spark, folder, *names)):
+        store(df, f"{layers.silver}.{name}", layouts[name])
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        stock = [spark.table(f"{layers.silver}.{n}") for n in names]
+        store(facts.inventory(*stock, as_of=AS_OF), f"{layers.gold}.fact_inventory")
+    finally:
+        spark.conf.set(setting, before)
+    return untimed(spark.table(f"{layers.gold}.fact_inventory"))
+
+
+@query
+def batch_spread(spark: SparkSession, folder: str) -> DataFrame:
+    """Both batch releases from one pass over the lots, a third of which have one number."""
+    lots, decisions = bind(spark, folder, "hot_qals", "hot_qave")
+    released = facts.batch_release(lots, decisions, AS_OF, _spread(lots.count()))
+    layers = _layers(spark, "batch_spread")
+    tables = {"external": facts.is_external(), "internal": facts.is_internal()}
+    store_split(released, {f"{layers.gold}.{t}": c for t, c in tables.items()})
+    return reduce(
+        DataFrame.union,
+        [untimed(spark.table(f"{layers.gold}.{t}")).withColumn("release", F.lit(t)) for t in tables],
+    )
+
+
 @query
 def registry_run(spark: SparkSession, folder: str) -> DataFrame:
     """All extracts of the registry through the raw and the cleansed layer."""
@@ -608,6 +730,35 @@ def schedule_spread(spark: SparkSession, folder: str) -> DataFrame:
     return attach(suppliers, lines, ["supplier", "status"], policy=_spread(lines.count()))
 
 
+@query
+def lookup_many_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """A few frequent suppliers among as many keys as there are lines, found by small sketches."""
+    lines = read(spark, folder, "lineitem").select(
+        F.when(F.col("l_suppkey") < 4, F.negate("l_suppkey")).otherwise(F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+        .cast("bigint").alias("line_key"),
+        "l_quantity",
+    )
+    names = read(spark, folder, "supplier").select(
+        F.negate("s_suppkey").cast("bigint").alias("line_key"), F.col("s_name").alias("supplier_name")
+    )
+    rows = max(20, lines.count() // 256)
+    policy = SkewPolicy(broadcast_bytes=0, rows_per_task=rows, buckets=2, tracked=64, listed=1)
+    return attach(lines, names, ["line_key"], policy=policy)
+
+
+@query
+def lookup_absent_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Suppliers with their lines, where keys that the counted frame has often are not in the joined one."""
+    lines = read(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("supplier"), "l_orderkey", "l_linenumber"
+    )
+    others = lines.withColumn(
+        "supplier", F.when(F.col("supplier") < 4, -1 - F.col("supplier")).otherwise(F.col("supplier")).cast("bigint")
+    )
+    suppliers = read(spark, folder, "supplier").select(F.col("s_suppkey").alias("supplier"), "s_name")
+    return attach(suppliers, others, ["supplier"], policy=_spread(lines.count()), right_keys_from=lines)
+
+
 # Reports
 
 
@@ -660,3 +811,15 @@ def facts_summary(spark: SparkSession, folder: str) -> DataFrame:
         "fact_absent": lambda: read(spark, folder, "absent"),
     }
     return fact_summary(spark, built).withColumn("status", F.split("status", ":")[0])
+
+
+@query
+def written_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The same of stored facts, by the rows that were counted at the write."""
+    layers = _layers(spark, "written_summary")
+    built = {"fact_inventory": fact_inventory, "fact_purchase_order": po_fact}
+    for name, build in built.items():
+        store(build(spark, folder), f"{layers.gold}.{name}")
+    sources = {n: lambda n=n: spark.table(f"{layers.gold}.{n}") for n in (*built, "fact_absent")}
+    known = fact_summary(spark, sources, lambda n: recorded(spark, f"{layers.gold}.{n}").rows)
+    return known.withColumn("status", F.split("status", ":")[0])

@@ -176,3 +176,36 @@ def test_attach_key_keeps_the_grain(spark):
     got = {r.n: r.dim_supplier_key for r in out.collect()}
     known = {(r.supplier, r.org): r.dim_supplier_key for r in dim.collect()}
     assert got == {1: known["s1", "o1"], 2: None, 3: None}
+
+
+@pytest.mark.parametrize("policy", [FORCED, MANY], ids=["listed", "joined"])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_keys_that_the_right_side_lacks(spark, how, policy):
+    left = spark.createDataFrame([("gone", 1), ("hot", 2), ("alone", 3), (None, 4)], "k string, v int")
+    counted = spark.createDataFrame([("gone", i) for i in range(50)] + [("hot", i) for i in range(50)], "k string, w int")
+    right = counted.where("k = 'hot'")
+    out = attach(left, right, ["k"], how, policy, right_keys_from=counted)
+    wanted = brute([tuple(r) for r in left.collect()], [tuple(r) for r in right.collect()], how)
+    assert sorted(map(tuple, out.collect()), key=str) == wanted
+
+
+def test_lots_without_a_key_are_spread(spark):
+    """Neither inspection lots nor decisions are cleansed by a key, so both are counted."""
+    lots = spark.range(100).selectExpr("'1' as PRUEFLOS", *[f"'{c}' as {c}" for c in "MATNR WERK LIFNR EBELN EBELP ENSTEHDAT BUDAT".split()],
+                                       "if(id % 2 = 0, '04', '01') as ART", "id as LOSMENGE", "id as GESSTICHPR")
+    decisions = spark.range(3).selectExpr("'1' as PRUEFLOS", "cast(id as string) as VBEWERTUNG", "'d' as DBEWERTUNG", "'f' as VFOLGEAKTI",
+                                          "'v' as VDATUM", "id as VAUSWAHLMG")
+    for build, rows in ((facts.batch_release, 300), (facts.batch_release_external, 150)):
+        out = build(lots, decisions, policy=FORCED)
+        assert "__left_salt" in out._jdf.queryExecution().analyzed().toString()
+        assert out.count() == rows
+
+
+def test_small_sketches_find_every_hot_key(spark):
+    """Fewer tracked keys than there are: hot keys are set aside, then buckets are added."""
+    df = spark.range(20_000).selectExpr("if(id % 4 = 0, -(id % 3) - 1, id) as k")
+    policy = SkewPolicy(broadcast_bytes=0, rows_per_task=60, buckets=1, tracked=32, listed=2)
+    found = {r.k: r["__n"] for r in hot_keys(df, ["k"], policy).collect()}
+    assert found == {-1: 1667, -2: 1667, -3: 1666}
+    assert hot_keys(spark.range(20_000), ["id"], policy) is None
+    assert hot_keys(spark.range(0), ["id"], policy) is None

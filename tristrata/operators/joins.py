@@ -37,7 +37,8 @@ def attach(
     of the plain join.
 
     ``keys_from`` and ``right_keys_from`` name frames that have a side's keys in the same
-    proportions but are cheaper to count, such as the base table of a join chain.
+    proportions but are cheaper to count, such as the base table of a join chain. Keys that are hot
+    there are looked up in the right side itself, as it may lack them.
     ``unique`` says that the right side has about one row per key, being grouped or cleansed by it,
     and ``left_unique`` the same of the left side; such a side needs no counting. ``counts``
     is shared by the joins of one plan, so that none counts what another has counted.
@@ -58,6 +59,8 @@ def attach(
     counts = counts or KeyCounts()
     hot_left = None if left_unique else counts.hot(left if keys_from is None else keys_from, keys, policy)
     hot_right = None if unique else counts.hot(right if right_keys_from is None else right_keys_from, keys, policy)
+    if hot_right is not None and right_keys_from is not None:
+        hot_right = _there(hot_right, right, keys, policy)
     if hot_left is None and hot_right is None:
         return left.join(right, keys, how)
     fans = _fans(keys, hot_left, hot_right, policy)
@@ -72,6 +75,17 @@ def attach(
     return _spread_join(left, right, keys, how, fans, widest)
 
 
+def _there(hot: DataFrame, right: DataFrame, keys: list[str], policy: SkewPolicy) -> DataFrame:
+    """The hot keys that the right side has: an unmatched row is told from a copy that met an
+    empty salt by its key being hot."""
+    rows = hot.limit(policy.listed + 1).collect()
+    known = hot
+    if len(rows) <= policy.listed:
+        known = F.broadcast(hot.sparkSession.createDataFrame(rows, hot.schema))
+    present = right.select(*[quoted(k) for k in keys]).join(known.drop(COUNT), keys, "left_semi").distinct()
+    return known.join(present, keys, "left_semi")
+
+
 def _fans(
     keys: list[str], left: DataFrame | None, right: DataFrame | None, policy: SkewPolicy
 ) -> DataFrame:

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.functions.text import quoted
 
-COUNT = "__n"
+COUNT, HASH = "__n", "__hash"
 UNKNOWN_BYTES = 1 << 62
 
 
@@ -22,13 +23,14 @@ class SkewPolicy:
     has fewer hot keys than it has tasks' worth of rows. A right side within ``broadcast_bytes``
     (default: Spark's own broadcast limit) is joined without looking for any: its join has no
     shuffle. Up to ``listed`` hot keys are broadcast; beyond that they are joined like any
-    other table.
+    other table. Keys are looked for by ``buckets`` sketches of at most ``tracked`` keys each.
     """
 
     rows_per_task: int = 2_000_000
     broadcast_bytes: int | None = None
     listed: int = 100_000
-    buckets: int = 1 << 16
+    buckets: int = 64
+    tracked: int = 1 << 14
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -43,21 +45,53 @@ def estimated_bytes(df: DataFrame) -> int:
         return UNKNOWN_BYTES
 
 
+def _candidates(df: DataFrame, hashed: Column, policy: SkewPolicy) -> list[int]:
+    """Hashes of keys that may have more than ``rows_per_task`` rows; none that has is missing.
+
+    One pass over the keys: a sketch of frequent items per bucket, merged on the map side, so that
+    neither distinct keys nor rows are shuffled. A sketch of t tracked items surely names an item with more
+    than 5.25 / t of its bucket's rows and never underrates one. Where that share is too coarse
+    for the rows that a bucket turned out to have, the keys named so far are set aside and the others
+    are dealt to more buckets.
+    """
+    keyed, buckets, names = df.select(hashed.alias("hashed")), policy.buckets, []
+    while True:
+        # The hash's upper half: a sketch spreads its items by all of it.
+        bucket = F.pmod(F.shiftright("hashed", 32), F.lit(buckets))
+        sketch = F.expr(f"approx_top_k(hashed, {policy.tracked}, {policy.tracked})")
+        found = keyed.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), sketch.alias("items"))
+        many = F.filter("items", lambda item: item["count"] > policy.rows_per_task)
+        # At most as many items as there are tasks' worth of rows.
+        rows = found.select("n", F.transform(many, lambda item: item["item"]).alias("hashes")).collect()
+        fresh = [h for r in rows for h in r.hashes]
+        names += fresh
+        surely = max((r.n for r in rows), default=0) * 5.25 / policy.tracked
+        if surely <= policy.rows_per_task:
+            return names
+        if fresh:
+            keyed = keyed.join(_listed(df, fresh, "hashed", policy), "hashed", "left_anti")
+        else:
+            buckets *= max(2, math.ceil(surely / policy.rows_per_task))
+
+
+def _listed(df: DataFrame, hashes: list[int], name: str, policy: SkewPolicy) -> DataFrame:
+    table = df.sparkSession.createDataFrame([(h,) for h in hashes], f"{name} bigint")
+    return F.broadcast(table) if len(hashes) <= policy.listed else table
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], policy: SkewPolicy) -> DataFrame | None:
     """Exact hot keys of a frame with their rows (``__n``), or nothing.
 
-    Rows are first counted per hash bucket: a fixed number of groups, combined on the map
-    side. A hot key can only sit in a bucket with as many rows, so mostly this one pass
-    over the key columns is all. Otherwise the keys of those buckets are counted exactly.
+    Mostly the sketches show that there is none, and this one pass over the key columns is all. Otherwise
+    the rows of the keys that they name, and of no others, are counted exactly.
     """
     columns = [quoted(k) for k in keys]
-    bucket = F.pmod(F.xxhash64(*columns), F.lit(policy.buckets))
-    counts = df.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    # At most ``buckets`` numbers.
-    heavy = [r.bucket for r in counts.where(F.col("n") > policy.rows_per_task).collect()]
-    if not heavy:
+    hashed = F.xxhash64(*columns)
+    names = _candidates(df, hashed, policy)
+    if not names:
         return None
-    exact = df.where(bucket.isin(heavy)).groupBy(*columns).agg(F.count(F.lit(1)).alias(COUNT))
+    met = df.select(*columns, hashed.alias(HASH)).join(_listed(df, names, HASH, policy), HASH, "left_semi")
+    exact = met.groupBy(*columns).agg(F.count(F.lit(1)).alias(COUNT))
     return exact.where(F.col(COUNT) > policy.rows_per_task)
 
 

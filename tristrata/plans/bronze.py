@@ -12,7 +12,7 @@ from tristrata.operators.stamps import stamp_raw
 from tristrata.plans.outcomes import Outcome, attempt_all
 from tristrata.plans.registry import RULES, Rule
 from tristrata.sources.csv import read_csv
-from tristrata.sources.tables import Layers, write_table
+from tristrata.sources.tables import Layers, Written, store
 
 BAD_ROWS = "_bad_row"
 
@@ -31,9 +31,11 @@ def ingest(
     infer: bool = False,
     multi_line: bool = False,
     as_of: datetime | None = None,
-) -> tuple[int, int]:
-    """Load one extract into its raw table; returns the rows written and how many of them
-    had too many or too few cells, or a cell that did not fit."""
+    profile: bool = False,
+) -> Written:
+    """Load one extract into its raw table; returns the rows written, how many of them
+    had too many or too few cells, or a cell that did not fit, and with ``profile`` the NULLs of
+    each column."""
     file = f"{rule.extract}.csv"
     extract = read_csv(
         spark, f"{folder.rstrip('/')}/{file}", infer=infer,
@@ -41,7 +43,7 @@ def ingest(
     )
     frame = raw_frame(extract, file, rule.system, as_of)
     bad = frame.columns[len(extract.columns) - 1]  # as its name was cleaned
-    return write_table(frame, f"{layers.bronze}.{rule.raw_table}", bad_rows=bad)
+    return store(frame, f"{layers.bronze}.{rule.raw_table}", bad_rows=bad, profile=profile)
 
 
 def ingest_all(
@@ -50,14 +52,20 @@ def ingest_all(
     rules: Iterable[Rule] = RULES,
     layers: Layers = Layers(),
     parallel: int = 4,
+    profiled: Iterable[str] = (),
     **options,
 ) -> list[Outcome]:
-    """Load every extract; ``folders`` gives the folder of each source system."""
+    """Load every extract; ``folders`` gives the folder of each source system, ``profiled`` the raw
+    tables whose NULLs are counted while they are written."""
+    rules, profiled = tuple(rules), set(profiled)
     return attempt_all(
         spark,
         {
-            (r.extract, r.system): lambda r=r: ingest(spark, folders[r.system], r, layers, **options)
+            (r.extract, r.system): lambda r=r: ingest(
+                spark, folders[r.system], r, layers, profile=r.raw_table in profiled, **options
+            )
             for r in rules
         },
         parallel,
+        targets={(r.extract, r.system): f"{layers.bronze}.{r.raw_table}" for r in rules},
     )

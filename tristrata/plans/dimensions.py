@@ -14,6 +14,7 @@ from tristrata.operators.projection import fields, project
 from tristrata.operators.skew import KeyCounts, SkewPolicy
 from tristrata.operators.stamps import stamp_validity
 from tristrata.operators.star import as_dimension, calendar, distinct_values
+from tristrata.plans.registry import KEYED, Keyed, is_unique
 
 # Source column, published column, type ("-" leaves it as read).
 MATERIAL = fields("""
@@ -130,12 +131,14 @@ def product(
     language: str = TEXT_LANGUAGE,
     as_of: datetime | None = None,
     policy: SkewPolicy = SkewPolicy(),
+    keyed: Keyed = KEYED,
 ) -> DataFrame:
     """Materials with their description in one language; missing texts read ``""``."""
     spoken = project(texts.where(F.col("SPRAS") == language), MATERIAL_TEXT)
     described = attach(
         project(materials, MATERIAL), spoken, ["material_number"], policy=policy,
-        left_unique=True, unique=True,
+        left_unique=is_unique("mara", MATERIAL, ["material_number"], keyed),
+        unique=is_unique("makt", MATERIAL_TEXT, ["material_number"], keyed, fixed=["SPRAS"]),
     )
     out = described.select(PRODUCT_COLUMNS).fillna("", subset=PRODUCT_TEXTS)
     return stamp_validity(out.withColumn("dim_product_key", single_key("material_number")), as_of)
@@ -170,11 +173,12 @@ def storage(
     locations: DataFrame,
     as_of: datetime | None = None,
     policy: SkewPolicy = SkewPolicy(),
+    keyed: Keyed = KEYED,
 ) -> DataFrame:
     """Storage locations under their plant; a plant without any keeps one row."""
     placed = attach(
         project(plants, PLANT), project(locations, STORAGE_LOCATION), ["plant"], policy=policy,
-        left_unique=True,
+        left_unique=is_unique("t001w", PLANT, ["plant"], keyed),
     )
     return as_dimension(
         placed.select(STORAGE_COLUMNS), "dim_storage", ["plant", "storage_location"], as_of
@@ -187,6 +191,7 @@ def supplier(
     supplier_companies: DataFrame,
     as_of: datetime | None = None,
     policy: SkewPolicy = SkewPolicy(),
+    keyed: Keyed = KEYED,
 ) -> DataFrame:
     """Suppliers by purchasing organisation and company e-mail.
 
@@ -201,7 +206,8 @@ def supplier(
     counts = KeyCounts()
     with_orgs = attach(
         base, orgs.distinct(), ["supplier_number"], policy=policy,
-        left_unique=True, right_keys_from=orgs, counts=counts,
+        left_unique=is_unique("lfa1", SUPPLIER, ["supplier_number"], keyed),
+        right_keys_from=orgs, counts=counts,
     )
     full = attach(
         with_orgs, emails.distinct(), ["supplier_number"], policy=policy,
@@ -247,3 +253,7 @@ def location_product(pairs: DataFrame, as_of: datetime | None = None) -> DataFra
         ["location_id", "product_id"],
         as_of,
     )
+
+
+# Builders whose joins are told what the cleansing rules make unique.
+TOLD_KEYS = (product, storage, supplier)

@@ -3,18 +3,20 @@ except that joins of large sides first look for hot keys."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.functions.clock import today
 from tristrata.functions.dates import month_end, period_start
 from tristrata.functions.text import decode
 from tristrata.operators.joins import attach
-from tristrata.operators.projection import fields, only, project
+from tristrata.operators.projection import Field, fields, only, project
 from tristrata.operators.skew import KeyCounts, SkewPolicy
 from tristrata.operators.star import as_fact
+from tristrata.plans.registry import KEYED, Keyed, is_unique
 
 # Source column, published column, type ("-" leaves it as read).
 BATCH_STOCK = fields("""
@@ -240,6 +242,7 @@ def inventory(
     special_stock: DataFrame,
     as_of: datetime | None = None,
     policy: SkewPolicy = SkewPolicy(),
+    keyed: Keyed = KEYED,
 ) -> DataFrame:
     """Current stock by material, plant, location and batch; several special stocks
     of one batch repeat its row.
@@ -250,15 +253,15 @@ def inventory(
     """
     base = project(batch_stock, BATCH_STOCK)
     counts = KeyCounts()
-    # Valuation and location stock are cleansed by the keys they are joined by.
     out = base
-    for side, layout, keys, unique in (
-        (valuation, VALUATION, PLANT_KEYS, True),
-        (location_stock, LOCATION_STOCK, LOCATION_KEYS, True),
-        (special_stock, SPECIAL_STOCK, BATCH_KEYS, False),
+    for table, side, layout, keys in (
+        ("mbew", valuation, VALUATION, PLANT_KEYS),
+        ("mard", location_stock, LOCATION_STOCK, LOCATION_KEYS),
+        ("mslb", special_stock, SPECIAL_STOCK, BATCH_KEYS),
     ):
         out = attach(
-            out, project(side, layout), keys, policy=policy, keys_from=base, unique=unique, counts=counts
+            out, project(side, layout), keys, policy=policy, keys_from=base,
+            unique=is_unique(table, layout, keys, keyed), counts=counts,
         )
     dated = out.select(*INVENTORY_COLUMNS, today(as_of).alias("snapshot_date"))
     return as_fact(with_stock_totals(dated), as_of)
@@ -316,6 +319,26 @@ def delivered(history: DataFrame) -> DataFrame:
     )
 
 
+def _looked_up(
+    base: DataFrame,
+    unique: bool,
+    names: Iterable[tuple[str, DataFrame, Sequence[Field], str]],
+    policy: SkewPolicy,
+    keyed: Keyed,
+    counts: KeyCounts,
+) -> tuple[DataFrame, bool]:
+    """A table with the names of its codes (table, frame, layout, code), and whether it still has one row
+    where it had one: a table of names that is not unique by its code repeats rows."""
+    out = base
+    for table, side, layout, key in names:
+        single = is_unique(table, layout, [key], keyed)
+        out = attach(
+            out, project(side, layout), [key], policy=policy, keys_from=base, unique=single, counts=counts
+        )
+        unique = unique and single
+    return out, unique
+
+
 def purchase_order(
     headers: DataFrame,
     items: DataFrame,
@@ -328,6 +351,7 @@ def purchase_order(
     orgs: DataFrame,
     as_of: datetime | None = None,
     policy: SkewPolicy = SkewPolicy(),
+    keyed: Keyed = KEYED,
 ) -> DataFrame:
     """Order items by schedule line, with names and goods received.
 
@@ -337,36 +361,35 @@ def purchase_order(
     one side that adds rows, comes last.
     """
     counts = KeyCounts()
-    header = project(headers, ORDER_HEADER)
-    named = header
-    for side, layout, key in (
-        (suppliers, SUPPLIER_NAME, "supplier_number"),
-        (groups, GROUP_NAME, "purchasing_group"),
-        (orgs, ORG_NAME, "purchasing_org"),
-    ):
-        named = attach(
-            named, project(side, layout), [key], policy=policy, keys_from=header, unique=True, counts=counts
-        )
-
-    item = project(items, ORDER_ITEM)
-    placed = item
-    for side, layout, key in (
-        (companies, COMPANY_NAME, "company"),
-        (plants, PLANT_NAME, "plant"),
-    ):
-        placed = attach(
-            placed, project(side, layout), [key], policy=policy, keys_from=item, unique=True, counts=counts
-        )
-
-    # Headers and items are cleansed by their keys: one row for each.
+    header, item = project(headers, ORDER_HEADER), project(items, ORDER_ITEM)
+    named, one_header = _looked_up(
+        header,
+        is_unique("ekko", ORDER_HEADER, ["purchase_order"], keyed),
+        (
+            ("lfa1", suppliers, SUPPLIER_NAME, "supplier_number"),
+            ("t024", groups, GROUP_NAME, "purchasing_group"),
+            ("t024e", orgs, ORG_NAME, "purchasing_org"),
+        ),
+        policy, keyed, counts,
+    )
+    placed, one_item = _looked_up(
+        item,
+        is_unique("ekpo", ORDER_ITEM, ITEM_KEYS, keyed),
+        (("t001", companies, COMPANY_NAME, "company"), ("t001w", plants, PLANT_NAME, "plant")),
+        policy, keyed, counts,
+    )
     lines = attach(
-        placed, named, ["purchase_order"], "inner", policy, keys_from=item, unique=True, counts=counts
+        placed, named, ["purchase_order"], "inner", policy,
+        keys_from=item, unique=one_header, right_keys_from=header, counts=counts,
     )
+    one_line = one_header and one_item
     lines = attach(
-        lines, delivered(history), ITEM_KEYS, policy=policy, left_unique=True, unique=True, counts=counts
+        lines, delivered(history), ITEM_KEYS, policy=policy,
+        keys_from=item, left_unique=one_line, unique=True, counts=counts,
     )
     lines = attach(
-        lines, project(schedule, SCHEDULE_LINE), ITEM_KEYS, policy=policy, left_unique=True, counts=counts
+        lines, project(schedule, SCHEDULE_LINE), ITEM_KEYS, policy=policy,
+        keys_from=item, left_unique=one_line, counts=counts,
     )
     received = {
         "delivered_qty": F.coalesce("delivered_qty", F.lit(0)).cast("decimal(15,3)"),
@@ -396,25 +419,52 @@ def demand_forecast(demand: DataFrame, as_of: datetime | None = None) -> DataFra
     return as_fact(dated, as_of)
 
 
-def _batch_release(
-    lots: DataFrame, decisions: DataFrame, as_of: datetime | None, policy: SkewPolicy
+def is_external() -> Column:
+    return F.col("inspection_type") == EXTERNAL_INSPECTION
+
+
+def is_internal() -> Column:
+    """A lot without a type is neither."""
+    return F.col("inspection_type") != EXTERNAL_INSPECTION
+
+
+def _decided(
+    lots: DataFrame, decisions: DataFrame, as_of: datetime | None, policy: SkewPolicy, keyed: Keyed
 ) -> DataFrame:
+    """Lots with their usage decisions. Neither table need have a key, so a lot may be there any number
+    of times on either side."""
+    key = ["inspection_lot"]
     decided = attach(
-        lots, project(decisions, USAGE_DECISION), ["inspection_lot"], policy=policy, left_unique=True
+        lots, project(decisions, USAGE_DECISION), key, policy=policy,
+        left_unique=is_unique("qals", INSPECTION_LOT, key, keyed),
+        unique=is_unique("qave", USAGE_DECISION, key, keyed),
     )
     return as_fact(decided, as_of)
 
 
+def batch_release(
+    lots: DataFrame,
+    decisions: DataFrame,
+    as_of: datetime | None = None,
+    policy: SkewPolicy = SkewPolicy(),
+    keyed: Keyed = KEYED,
+) -> DataFrame:
+    """Inspection lots with a type and their usage decision, if any: the external and the internal
+    batch release in one pass."""
+    chosen = project(lots, INSPECTION_LOT).where(F.col("inspection_type").isNotNull())
+    return _decided(chosen, decisions, as_of, policy, keyed)
+
+
 def batch_release_external(
     lots: DataFrame,
     decisions: DataFrame,
     as_of: datetime | None = None,
     policy: SkewPolicy = SkewPolicy(),
+    keyed: Keyed = KEYED,
 ) -> DataFrame:
     """Inspection lots of goods from outside with their usage decision, if any."""
-    lot = project(lots, INSPECTION_LOT)
-    chosen = lot.where(F.col("inspection_type") == EXTERNAL_INSPECTION)
-    return _batch_release(chosen, decisions, as_of, policy)
+    chosen = project(lots, INSPECTION_LOT).where(is_external())
+    return _decided(chosen, decisions, as_of, policy, keyed)
 
 
 def batch_release_internal(
@@ -422,8 +472,12 @@ def batch_release_internal(
     decisions: DataFrame,
     as_of: datetime | None = None,
     policy: SkewPolicy = SkewPolicy(),
+    keyed: Keyed = KEYED,
 ) -> DataFrame:
     """All other inspection lots; a lot without a type belongs to neither fact."""
-    lot = project(lots, INSPECTION_LOT)
-    chosen = lot.where(F.col("inspection_type") != EXTERNAL_INSPECTION)
-    return _batch_release(chosen, decisions, as_of, policy)
+    chosen = project(lots, INSPECTION_LOT).where(is_internal())
+    return _decided(chosen, decisions, as_of, policy, keyed)
+
+
+# Builders whose joins are told what the cleansing rules make unique.
+TOLD_KEYS = (inventory, purchase_order, batch_release_external, batch_release_internal)

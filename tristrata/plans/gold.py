@@ -8,8 +8,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tristrata.plans import dimensions, facts
-from tristrata.plans.outcomes import Outcome, attempt_all
-from tristrata.sources.tables import Layers, write_table
+from tristrata.plans.outcomes import Once, Outcome, attempt_all
+from tristrata.plans.registry import RULES, Rule, keyed_tables
+from tristrata.sources.tables import Layers, Layout, Written, store, store_split
 
 SYSTEM = "GOLD"
 Builder = Callable[..., DataFrame]
@@ -46,21 +47,15 @@ DERIVED_FACTS: dict[str, tuple[Builder, str]] = {
 }
 
 
-def _load(
-    spark: SparkSession,
-    name: str,
-    build: Builder,
-    sources: str,
-    database: str,
-    layers: Layers,
-    as_of: datetime | None,
-    partition_by: Sequence[str],
-) -> int:
+# Facts that are parts of one frame: built together, in one pass over what they read.
+SPLIT_FACTS: tuple[str, ...] = ("fact_batch_release_external", "fact_batch_release_internal")
+
+
+def _frame(
+    spark: SparkSession, build: Builder, sources: str, database: str, as_of: datetime | None, **more
+) -> DataFrame:
     frames = [spark.table(f"{database}.{s}") for s in sources.split()]
-    frame = build(*(frames or [spark]), as_of=as_of)
-    return write_table(
-        frame, f"{layers.gold}.{name}", partition_by, replace=name in (FACTS | DERIVED_FACTS)
-    )
+    return build(*(frames or [spark]), as_of=as_of, **more)
 
 
 def build_gold(
@@ -70,22 +65,40 @@ def build_gold(
     as_of: datetime | None = None,
     partitions: Mapping[str, Sequence[str]] = {},
     failed: Iterable[str] = (),
+    rules: Iterable[Rule] = RULES,
 ) -> list[Outcome]:
     """Build every dimension and fact; ``partitions`` names the columns that a table's
     files are split by, such as the fiscal year of month-end stock. What reads one of the cleansed
     tables ``failed`` is reported and not built. A fact that is built from another one starts
-    as soon as that one is done."""
+    as soon as that one is done. ``rules`` are those that the tables were cleansed by: what they
+    make unique is not counted."""
     tables = DIMENSIONS | FACTS | DERIVED_FACTS
+    keyed = keyed_tables(rules)
+
+    def frame(name: str) -> DataFrame:
+        build, sources = tables[name]
+        database = layers.gold if name in DERIVED_FACTS else layers.silver
+        more = {"keyed": keyed} if build in dimensions.TOLD_KEYS + facts.TOLD_KEYS else {}
+        return _frame(spark, build, sources, database, as_of, **more)
+
+    def load(name: str) -> Written:
+        return store(frame(name), f"{layers.gold}.{name}", Layout(partitions.get(name, ())))
+
+    def release() -> dict[str, Written]:
+        lots = _frame(spark, facts.batch_release, FACTS[SPLIT_FACTS[0]][1], layers.silver, as_of, keyed=keyed)
+        conditions = dict(zip(SPLIT_FACTS, (facts.is_external(), facts.is_internal())))
+        return store_split(lots, {f"{layers.gold}.{t}": c for t, c in conditions.items()})
+
+    split = () if any(t in partitions for t in SPLIT_FACTS) else SPLIT_FACTS
+    once = Once(release)
     return attempt_all(
         spark,
         {
-            (name, SYSTEM): lambda n=name, b=build, s=sources: _load(
-                spark, n, b, s, layers.gold if n in DERIVED_FACTS else layers.silver, layers,
-                as_of, partitions.get(n, ()),
-            )
-            for name, (build, sources) in tables.items()
+            (name, SYSTEM): (lambda n=name: once(f"{layers.gold}.{n}") if n in split else load(n))
+            for name in tables
         },
         parallel,
         needs={name: sources.split() for name, (_, sources) in tables.items()},
         failed=failed,
+        targets={(name, SYSTEM): f"{layers.gold}.{name}" for name in tables},
     )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+from tristrata.operators.projection import AS_READ, Field
+
 # System, extract file, cleansed table, key columns, date columns.
 # "-" stands for none.
 _RULES = """
@@ -80,3 +83,26 @@ def parse_rules(text: str) -> tuple[Rule, ...]:
 
 
 RULES = parse_rules(_RULES)
+
+Keyed = Mapping[str, Sequence[str]]
+
+
+def keyed_tables(rules: Iterable[Rule]) -> dict[str, tuple[str, ...]]:
+    """The columns by which each cleansed table has one row per value; tables without any are left out."""
+    return {r.table: r.keys for r in rules if r.keys}
+
+
+KEYED = keyed_tables(RULES)
+
+
+def is_unique(
+    table: str, layout: Sequence[Field], keys: Sequence[str], keyed: Keyed = KEYED, fixed: Sequence[str] = ()
+) -> bool:
+    """Whether the cleansing rules prove that a table has one row at most per value of ``keys``.
+
+    ``keys`` are names that ``layout`` gives, ``fixed`` source columns that a filter holds to one value. A key
+    column that the layout leaves out, or casts (two texts may be one number), proves nothing."""
+    names = {f.source.lower(): f.name for f in layout if f.type in (AS_READ, "string")}
+    held = {f.lower() for f in fixed}
+    wanted = [k.lower() for k in keyed.get(table, ()) if k.lower() not in held]
+    return bool(keyed.get(table)) and all(names.get(k) in set(keys) for k in wanted)

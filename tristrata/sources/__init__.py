@@ -2,15 +2,35 @@
 
 from tristrata.sources.csv import read_csv
 from tristrata.sources.sheets import mapping_sheet, read_mapping_sheet
-from tristrata.sources.tables import Layers, create_layers, drop_table, use_layer, write_table
+from tristrata.sources.tables import (
+    Layers,
+    Layout,
+    Written,
+    create_layers,
+    drop_table,
+    readable_rows,
+    recorded,
+    settle,
+    store,
+    store_split,
+    use_layer,
+    write_table,
+)
 
 __all__ = [
     "Layers",
+    "Layout",
+    "Written",
     "create_layers",
     "drop_table",
     "mapping_sheet",
     "read_csv",
     "read_mapping_sheet",
+    "readable_rows",
+    "recorded",
+    "settle",
+    "store",
+    "store_split",
     "use_layer",
     "write_table",
 ]
