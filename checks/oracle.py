@@ -248,6 +248,9 @@ ORACLE: dict[str, str] = {
     "csv_header_only": """SELECT 'FULL' AS table_name, (SELECT count(*) FROM customer) AS record_count,
         'string' AS types, CAST(COLUMNS(*) AS VARCHAR) FROM customer
         UNION ALL BY NAME SELECT 'EMPTY' AS table_name, 0 AS record_count, 'string' AS types""",
+    "schema_merge": f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(NULL AS VARCHAR) AS o_orderstatus,
+        CAST({dec("o_totalprice", 15, 2)} AS VARCHAR) AS o_totalprice, CAST(o_custkey AS VARCHAR) AS o_custkey,
+        'o_orderkey o_orderstatus o_totalprice o_custkey' AS in_order FROM orders""",
     "profiled_load": " UNION ALL ".join(
         f"SELECT count(*) AS row_count, CAST(8 AS BIGINT) AS column_count, '{c}' AS column_name, "
         f"count(*) - count({e}) AS null_count FROM ({ctes('padded_customers')} SELECT * FROM padded_customers)"

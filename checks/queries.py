@@ -194,6 +194,26 @@ def _layers(spark: SparkSession, name: str) -> Layers:
     return layers
 
 
+@query
+def schema_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads of one extract, the second without one column, with another and in another order: the
+    raw and the cleansed table keep the old columns, and have the new one behind them."""
+    name = "schema_merge"
+    orders = read(spark, folder, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(15,2)"))
+    rule = Rule("SAP", "ORDERS", "orders", ("o_orderkey",))
+    layers = _layers(spark, name)
+    for frame in (
+        orders.select("o_orderkey", "o_orderstatus", "o_totalprice"),
+        orders.select("o_totalprice", "o_orderkey", "o_custkey"),
+    ):
+        as_csv(spark, frame, f"{name}/SAP/ORDERS.csv")
+        ingest_all(spark, {"SAP": f"{shared_folder(spark, name)}/SAP"}, [rule], layers, merge_schema=True)
+        refine_all(spark, [rule], layers, merge_schema=True)
+    clean = spark.table(f"{layers.silver}.orders")
+    columns = data_columns(clean)
+    return clean.select(*columns, F.lit(" ".join(columns)).alias("in_order"))
+
+
 @query
 def profiled_load(spark: SparkSession, folder: str) -> DataFrame:
     """NULLs per column of a raw table, counted while it was written and read back without a scan."""

@@ -293,6 +293,38 @@ def test_uniqueness_is_proved_by_the_rules():
     assert len(KEYED) == 32
 
 
+def test_schemas_merge(spark, table):
+    """Old columns first, absent ones NULL, types as wide as both; names in any case."""
+    store(spark.sql("select 1 a, cast(1.5 as float) f, 'x' gone, date'2024-01-01' d"), table)
+    store(spark.sql("select timestamp'2024-02-02 01:00:00' d, 2.5D F, 3L A, true fresh"), table, merge_schema=True)
+    found = spark.table(table)
+    assert found.dtypes == [
+        ("a", "bigint"), ("f", "double"), ("gone", "string"), ("d", "timestamp"), ("fresh", "boolean")
+    ]
+    assert [tuple(r) for r in found.collect()] == [(3, 2.5, None, datetime(2024, 2, 2, 1), True)]
+    with pytest.raises(ValueError, match="a was bigint and is string"):
+        store(spark.sql("select 'text' a"), table, merge_schema=True)
+    assert spark.table(table).count() == 1
+    store(spark.sql("select 'text' a"), table)
+    assert spark.table(table).dtypes == [("a", "string")]
+
+
+def test_a_column_that_an_extract_loses_stays(spark, tmp_path, layers):
+    folder, place = tmp_path / "SAP", str(tmp_path / "layers")
+    folder.mkdir()
+    rules = [Rule("SAP", "A", "a", ("K",))]
+    for text in ("K,V,W\n1,x,y\n", "W,K,N\n5,2,z\n"):
+        (folder / "A.csv").write_text(text)
+        outcome = load.run(spark, {"SAP": str(folder)}, rules, layers, location=place, as_of=AS_OF)
+        assert all(o.ok for o in outcome.bronze + outcome.silver)
+    for database, name in ((layers.bronze, "sap_a"), (layers.silver, "a")):
+        found = spark.table(f"{database}.{name}")
+        assert [c for c in found.columns if not c.startswith("_")] == ["K", "V", "W", "N"]
+        assert found.select("K", "V", "W", "N").collect() == [("2", None, "5", "z")]
+    load.run(spark, {"SAP": str(folder)}, rules, layers, location=place, as_of=AS_OF, merge_schema=False)
+    assert [c for c in spark.table(f"{layers.silver}.a").columns if not c.startswith("_")] == ["W", "K", "N"]
+
+
 def test_location_is_outside_of_the_table_name(spark, table):
     store(numbers(spark, 0, 1), table)
     first = location(spark, table)

@@ -30,7 +30,7 @@ class SkewPolicy:
     broadcast_bytes: int | None = None
     listed: int = 100_000
     buckets: int = 64
-    tracked: int = 1 << 14
+    tracked: int = 1 << 12
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -32,10 +32,11 @@ def ingest(
     multi_line: bool = False,
     as_of: datetime | None = None,
     profile: bool = False,
+    merge_schema: bool = False,
 ) -> Written:
     """Load one extract into its raw table; returns the rows written, how many of them
     had too many or too few cells, or a cell that did not fit, and with ``profile`` the NULLs of
-    each column."""
+    each column. With ``merge_schema`` the table keeps columns that the extract no longer has."""
     file = f"{rule.extract}.csv"
     extract = read_csv(
         spark, f"{folder.rstrip('/')}/{file}", infer=infer,
@@ -43,7 +44,9 @@ def ingest(
     )
     frame = raw_frame(extract, file, rule.system, as_of)
     bad = frame.columns[len(extract.columns) - 1]  # as its name was cleaned
-    return store(frame, f"{layers.bronze}.{rule.raw_table}", bad_rows=bad, profile=profile)
+    return store(
+        frame, f"{layers.bronze}.{rule.raw_table}", bad_rows=bad, profile=profile, merge_schema=merge_schema
+    )
 
 
 def ingest_all(

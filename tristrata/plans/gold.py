@@ -66,12 +66,14 @@ def build_gold(
     partitions: Mapping[str, Sequence[str]] = {},
     failed: Iterable[str] = (),
     rules: Iterable[Rule] = RULES,
+    merge_schema: bool = False,
 ) -> list[Outcome]:
     """Build every dimension and fact; ``partitions`` names the columns that a table's
     files are split by, such as the fiscal year of month-end stock. What reads one of the cleansed
     tables ``failed`` is reported and not built. A fact that is built from another one starts
     as soon as that one is done. ``rules`` are those that the tables were cleansed by: what they
-    make unique is not counted."""
+    make unique is not counted. With ``merge_schema`` dimensions keep columns that they have; facts
+    never do."""
     tables = DIMENSIONS | FACTS | DERIVED_FACTS
     keyed = keyed_tables(rules)
 
@@ -82,7 +84,9 @@ def build_gold(
         return _frame(spark, build, sources, database, as_of, **more)
 
     def load(name: str) -> Written:
-        return store(frame(name), f"{layers.gold}.{name}", Layout(partitions.get(name, ())))
+        merge = merge_schema and name in DIMENSIONS
+        layout = Layout(partitions.get(name, ()))
+        return store(frame(name), f"{layers.gold}.{name}", layout, merge_schema=merge)
 
     def release() -> dict[str, Written]:
         lots = _frame(spark, facts.batch_release, FACTS[SPLIT_FACTS[0]][1], layers.silver, as_of, keyed=keyed)

@@ -53,24 +53,27 @@ def run(
     partitions: Mapping[str, Sequence[str]] = {},
     multi_line: bool = False,
     layouts: Mapping[str, Layout] = {},
+    merge_schema: bool = True,
 ) -> LoadResult:
     """Load extracts into all three layers. A table that fails is reported in the
     result, with all that are built from it; the others are loaded. ``multi_line`` holds for
-    every extract; a rule can ask for it alone. ``layouts`` says how cleansed tables' files lie. The NULLs of
+    every extract; a rule can ask for it alone. ``layouts`` says how cleansed tables' files lie. With
+    ``merge_schema`` raw and cleansed tables and dimensions keep columns that earlier loads had. The NULLs of
     the tables that are checked after a load are counted while these are written."""
     rules = tuple(rules)
     create_layers(spark, layers, location)
     bronze = ingest_all(
         spark, folders, rules, layers, parallel, KEY_RAW_TABLES,
-        infer=infer, multi_line=multi_line, as_of=as_of,
+        infer=infer, multi_line=multi_line, as_of=as_of, merge_schema=merge_schema,
     )
     write_table(outcome_log(spark, bronze), f"{layers.bronze}.{LOG_TABLE}")
     absent = [r.raw_table for r, o in zip(rules, bronze) if not o.ok]
     silver = refine_all(
-        spark, rules, layers, orders, parallel, as_of, absent, layouts, KEY_CLEANSED_TABLES
+        spark, rules, layers, orders, parallel, as_of, absent, layouts, KEY_CLEANSED_TABLES,
+        merge_schema,
     )
     old = [o.table_name for o in silver if not o.ok]
-    gold = build_gold(spark, layers, parallel, as_of, partitions, old, rules)
+    gold = build_gold(spark, layers, parallel, as_of, partitions, old, rules, merge_schema)
     return LoadResult(bronze, silver, gold)
 
 

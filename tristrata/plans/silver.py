@@ -21,11 +21,14 @@ def refine(
     as_of: datetime | None = None,
     layout: Layout = Layout(),
     profile: bool = False,
+    merge_schema: bool = False,
 ) -> Written:
-    """Cleanse one raw table; returns the rows written, with ``profile`` the NULLs of each column."""
+    """Cleanse one raw table; returns the rows written, with ``profile`` the NULLs of each column. With
+    ``merge_schema`` the table keeps columns that the raw one no longer has."""
     raw = spark.table(f"{layers.bronze}.{rule.raw_table}")
     clean = cleanse(raw, rule.keys, rule.dates, order_by, as_of)
-    return store(clean, f"{layers.silver}.{rule.table}", layout, profile=profile)
+    table = f"{layers.silver}.{rule.table}"
+    return store(clean, table, layout, profile=profile, merge_schema=merge_schema)
 
 
 def refine_all(
@@ -38,6 +41,7 @@ def refine_all(
     failed: Iterable[str] = (),
     layouts: Mapping[str, Layout] = {},
     profiled: Iterable[str] = (),
+    merge_schema: bool = False,
 ) -> list[Outcome]:
     """Cleanse every raw table; ``orders`` says by cleansed table which record of a
     key is the latest, where that is not its first column. The raw tables ``failed`` hold rows of
@@ -49,7 +53,7 @@ def refine_all(
         {
             (r.table, r.system): lambda r=r: refine(
                 spark, r, layers, orders.get(r.table), as_of, layouts.get(r.table, Layout()),
-                r.table in profiled,
+                r.table in profiled, merge_schema,
             )
             for r in rules
         },

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tristrata.functions.text import quoted
 from tristrata.operators.schema import data_columns
@@ -207,21 +208,55 @@ class Layout:
         writer.saveAsTable(entry)
 
 
+# Types that hold all values of those before them.
+_WIDER = [
+    ["tinyint", "smallint", "int", "bigint"],
+    ["float", "double"],
+    ["date", "timestamp"],
+]
+
+
+def merged(df: DataFrame, old: StructType) -> DataFrame:
+    """The frame with the columns of an older schema, in their order, before those that are new.
+
+    A column that the frame lacks is NULL, one whose type differs takes the wider of both types. Where
+    neither holds the other's values, such as text and numbers, the schemas do not merge."""
+    mine = {f.name.lower(): f for f in df.schema.fields}
+    out, left = [], dict(mine)
+    for f in old.fields:
+        new = left.pop(f.name.lower(), None)
+        if new is None:
+            out.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        names = [f.dataType.simpleString(), new.dataType.simpleString()]
+        if names[0] == names[1]:
+            out.append(quoted(new.name).alias(f.name))
+            continue
+        line = next((w for w in _WIDER if set(names) <= set(w)), None)
+        if line is None:
+            raise ValueError(f"{f.name} was {names[0]} and is {names[1]}: the schemas do not merge")
+        out.append(quoted(new.name).cast(max(names, key=line.index)).alias(f.name))
+    return df.select(*out, *[quoted(f.name) for f in left.values()])
+
+
 def store(
     df: DataFrame,
     table: str,
     layout: Layout = Layout(),
     bad_rows: str | None = None,
     profile: bool = False,
+    merge_schema: bool = False,
 ) -> Written:
-    """Overwrite a table, schema included, and tell what was counted on the way.
+    """Overwrite a table, schema included, and tell what was counted on the way. With
+    ``merge_schema`` the table keeps the columns that it has; see ``merged``.
 
     Rows, those where the column ``bad_rows`` (which is not written) is not NULL and, with ``profile``, the NULLs of every
     data column are counted while they are written, so nothing runs twice. If the load fails, the
     old table stays. ``df`` may read the table that it replaces. Not for two writers of one table at a time.
     """
     spark = df.sparkSession
-    settle(spark, table)
+    if settle(spark, table) and merge_schema:
+        df = merged(df, spark.table(_entry(spark, table)).schema)
     seen = Observation()
     names = [c for c in data_columns(df) if c != bad_rows] if profile else []
     counts = [F.count(F.lit(1)).alias("rows")]
