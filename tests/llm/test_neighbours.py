@@ -69,3 +69,19 @@ def test_traversal_visits_every_leaf_once():
     leaves = tree.visits(matrix[0], tree.leaves)
     assert sorted(leaves) == list(range(tree.leaves)) and tree.leaves > 20
     assert set(tree.assign(matrix).tolist()) <= set(leaves)
+
+
+@pytest.mark.parametrize("scale", [1e-6, 1.0, 1e4, 1e8])
+def test_ties_at_any_norm(spark, scale):
+    """Scores that differ by rounding alone: the result is that of scores summed pair by pair."""
+    rnd = np.random.default_rng(2)
+    base = rnd.normal(size=48) * scale
+    rows = [(i, (base * (1 + rnd.integers(-4, 5, 48) * 1.2e-16)).tolist()) for i in range(61)]
+    wide = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest_neighbours(wide, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
+    found = {i: [(r.vec_id, r.score) for r in got if r.query_id == i] for i in range(0, 61, 20)}
+    for i in found:
+        mine = np.array(rows[i][1])
+        score = {j: (mine * np.array(v)).sum() for j, v in rows if j != i}
+        want = sorted(score, key=lambda j: (-score[j], j))[:20]
+        assert [v for v, _ in found[i]] == want

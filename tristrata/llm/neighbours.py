@@ -128,7 +128,10 @@ def _best(queries: np.ndarray, points: np.ndarray, most: int) -> tuple[np.ndarra
     scores = queries @ points.T
     if scores.shape[1] > most:
         last = np.partition(scores, -most, axis=1)[:, -most]
-        q, p = np.nonzero(scores >= last[:, None] - 1e-9)
+        # A sum of products is off by its length times the rounding of the largest sum there could be.
+        lengths = np.linalg.norm(queries, axis=1) * np.linalg.norm(points, axis=1).max()
+        slack = 4 * queries.shape[1] * np.finfo(float).eps * lengths
+        q, p = np.nonzero(~(scores < (last - slack)[:, None]))
     else:
         q, p = np.nonzero(np.ones(scores.shape, bool))
     # Summed again row by row, so that a pair's score does not depend on its batch.
@@ -261,7 +264,8 @@ def _visit(points: DataFrame, routed: DataFrame, nearest: int) -> DataFrame:
                     floor = batch.column("floor").to_numpy()[a:b]
                     for at in range(0, len(point), 512):
                         q, p, score = _best(vec[at : at + 512], vector, nearest + 1)
-                        near = score >= floor[at : at + 512][q] - 1e-9
+                        # Both are summed in the same way.
+                        near = score >= floor[at : at + 512][q]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(point[at : at + 512][q][near]), pa.array(number[p][near]), pa.array(score[near])],
                             names=["asked", "point", "score"],
