@@ -344,7 +344,7 @@ def _locate(keep_text: bool):
             if keep_text:
                 kept_texts.append(kept.decode())
         columns = {
-            "doc_id": pa.array([None if i == _LAST_ID else i for i in ids.tolist()], pa.int64()),
+            "doc_id": pa.array(ids, pa.int64(), mask=table.column("nameless").to_numpy()),
             "n_words": pa.array(total, pa.int64()),
             "n_removed": pa.array(removed, pa.int64()),
             "kept_sha256": pa.array(digest, pa.string()),
@@ -367,17 +367,18 @@ def without_repeats(docs: DataFrame, buckets: int | None = None, keep_text: bool
     A word goes when a window of 13 words that covers it also starts in a document with a
     smaller doc_id. Null and empty texts have no words, and texts of fewer words than a window
     keep all. Rows of equal doc_id do not count as earlier than each other; a null doc_id is
-    later than all. Other columns play no part. ``buckets`` should give about 10 MB of text to
+    as late as the largest that there can be. An empty table gives no rows. Other columns play no part. ``buckets`` should give about 10 MB of text to
     each; by default they are counted from the texts' bytes, at least as many as shuffle partitions.
     """
     n = buckets or _buckets(docs)
     rows = docs.select(
         F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_LAST_ID)).alias("doc_id"),
+        F.col("doc_id").cast("bigint").isNull().alias("nameless"),
         F.col("text").cast("string").alias("text"),
         F.monotonically_increasing_id().alias("row"),
     )
     # Dealt by row, not by doc_id, which may repeat.
-    dealt = rows.select("doc_id", "text", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int").alias("bucket"))
+    dealt = rows.select("doc_id", "nameless", "text", F.pmod(F.xxhash64("row"), F.lit(n)).cast("int").alias("bucket"))
     home = dealt.groupBy("bucket")
 
     anchors = home.applyInArrow(_propose, "hash bigint, origin int")
