@@ -92,23 +92,37 @@ def grid_masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
     return [_signed(sum(c)) for c in combinations(parts, blocks - distance)]
 
 
+def unary_counts(values: np.ndarray) -> np.ndarray:
+    """The segments' bit counts with as many bits set as each counts to: two vectors of counts are as
+    far apart, in Manhattan distance, as these numbers differ in bits."""
+    mask = np.uint64(0x5555555555555555)
+    low, high = values & mask, (values >> np.uint64(1)) & mask
+    return (low | high) | ((low & high) << np.uint64(1))
+
+
 def _forest(values: np.ndarray, distance: int) -> tuple[list[int], list[int]]:
     """Edges of a spanning forest over values that differ in at most ``distance`` bits.
 
-    Each value is taken off the open ones when it is first reached, so a crowd of close
-    values shrinks at once and no pair list is made.
+    Values whose vectors of bit counts are further apart in Manhattan distance, the lower bound, are passed
+    over; the others are compared exactly. Each value is taken off the open ones when it is
+    first reached, so a crowd of close values shrinks at once and no pair list is made.
     """
     ends: list[int] = []
     roots: list[int] = []
     open_ = values.view(np.uint64)  # of a negative number only the size's bits would be counted
+    counts = unary_counts(open_)
     while len(open_) > 1:
-        root, open_ = open_[0], open_[1:]
+        root, open_, counts = open_[0], open_[1:], counts[1:]
         reached = [root]
         while reached and len(open_):
-            near = np.bitwise_count(open_ ^ reached.pop()) <= distance
-            if near.any():
-                found = open_[near]
-                open_ = open_[~near]
+            value = reached.pop()
+            bounded = np.flatnonzero(np.bitwise_count(counts ^ unary_counts(value)) <= distance)
+            hit = bounded[np.bitwise_count(open_[bounded] ^ value) <= distance]
+            if len(hit):
+                found = open_[hit]
+                left = np.ones(len(open_), bool)
+                left[hit] = False
+                open_, counts = open_[left], counts[left]
                 reached.extend(found)
                 ends.extend(found.view(np.int64).tolist())
                 roots.extend([int(root.view(np.int64))] * len(found))
