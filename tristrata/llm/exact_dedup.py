@@ -88,8 +88,34 @@ def group_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     before = index.last_batch()
     index.add(digests)
     # A computed key hides the buckets: with a shuffle on both sides a large group can be split.
-    kept = index.entries().withColumn("digest", F.concat("digest", F.lit(b"")))
-    return digests.join(kept, "digest").select(
+    return _judged(digests, index.entries().withColumn("digest", F.concat("digest", F.lit(b""))), before)
+
+
+def group_in_batches(docs: DataFrame, index: DigestIndex, batches: int = 2) -> DataFrame:
+    """The same of documents that are brought to an index in several batches, those with the largest
+    ids first and those without an id last: what a batch shares with an earlier one is
+    met by the anti-join and not indexed again. ``group_size`` counts the copies of all batches.
+
+    An empty table gives no rows. Where the batches are cut does not change the result.
+    """
+    rows = docs.select(F.col("doc_id").cast("bigint"), digest_of(F.col("text")).alias("digest"))
+    digests = numbered(rows, "row_no")
+    before = index.last_batch()
+    shares = [1 - i / batches for i in range(1, batches)]
+    cuts = digests.agg(F.percentile_approx("doc_id", shares) if shares else F.array()).first()[0] or []
+    upper = F.lit(True)
+    for cut in cuts:
+        index.add(digests.where(upper & (F.col("doc_id") > cut)))
+        upper = F.col("doc_id") <= cut
+    index.add(digests.where(F.coalesce(upper, F.lit(True))))
+    sizes = digests.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+    first = index.entries().select("digest", "keep_id", "keep_row", "batch")
+    groups = sizes.join(first, "digest").withColumn("digest", F.concat("digest", F.lit(b"")))
+    return _judged(digests, groups, before)
+
+
+def _judged(digests: DataFrame, groups: DataFrame, before: int) -> DataFrame:
+    return digests.join(groups, "digest").select(
         "doc_id",
         "keep_id",
         "group_size",
