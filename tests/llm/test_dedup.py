@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -187,3 +188,47 @@ def test_empty_tables(spark, clashing):
     index = exact_dedup.DigestIndex(spark, new_index_name(), 2)
     assert exact_dedup.group_copies(docs, index).count() == 0
     assert exact_dedup.without_copies(docs, index).count() == 0
+
+
+def test_the_largest_id_is_no_null(spark):
+    shared = "a b c d e f g h i j k l m"
+    rows = [(2**63 - 1, f"{shared} tail"), (None, f"own {shared}"), (3, f"{shared} end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.n_removed for r in substrings.without_repeats(docs, 2).collect()}
+    assert got == {2**63 - 1: 13, None: 13, 3: 0}
+
+
+@pytest.mark.parametrize("batches", [1, 2, 3, 7])
+def test_batches_give_what_one_load_gives(spark, batches):
+    """Copies within a batch and across batches, rows without an id last."""
+    rows = odd.ROWS + [(i, f"Text {i % 4}", "en", "a", 6) for i in range(20, 60)]
+    index = exact_dedup.DigestIndex(spark, new_index_name(), 3)
+    got = exact_dedup.group_in_batches(odd.documents(spark, rows), index, batches).collect()
+    want = brute.copies(pairs(rows))
+    assert by_text((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got) == by_text(want)
+    kept = [r for r in got if r.kept]
+    assert len(kept) == len({r.text_sha256 for r in got}) == index.entries().count()
+    assert min(batches, 2) <= index.last_batch() <= batches
+    assert exact_dedup.group_in_batches(odd.documents(spark, []), exact_dedup.DigestIndex(spark, new_index_name(), 2)).collect() == []
+
+
+def test_a_second_load_is_met_by_the_index(spark):
+    index = exact_dedup.DigestIndex(spark, new_index_name(), 2)
+    schema = "doc_id bigint, text string"
+    first = spark.createDataFrame([(1, "a"), (2, "b")], schema)
+    assert all(r.kept for r in exact_dedup.group_copies(first, index).collect())
+    later = spark.createDataFrame([(9, "A"), (10, "c"), (11, "c")], schema)
+    for group in (exact_dedup.group_copies, exact_dedup.group_in_batches):
+        got = {r.doc_id: (r.keep_id, r.kept) for r in group(later, index).collect()}
+        assert got == {9: (1, False), 10: (11, False), 11: (11, group is exact_dedup.group_copies)}
+
+
+def test_manhattan_distance_is_a_lower_bound():
+    rnd = np.random.default_rng(1)
+    a, b = (rnd.integers(0, 1 << 63, 500, np.uint64) for _ in range(2))
+    b[:250] = a[:250] ^ (np.uint64(1) << rnd.integers(0, 64, 250, np.uint64))
+    counts = [[(v >> 2 * s & 3).bit_count() for s in range(32)] for v in (*a.tolist(), *b.tolist())]
+    plain = [sum(abs(x - y) for x, y in zip(p, q)) for p, q in zip(counts[:500], counts[500:])]
+    packed = np.bitwise_count(simhash.unary_counts(a) ^ simhash.unary_counts(b))
+    assert packed.tolist() == plain
+    assert all(m <= h for m, h in zip(plain, np.bitwise_count(a ^ b).tolist()))

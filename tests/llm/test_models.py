@@ -236,3 +236,35 @@ def test_words_are_split_at_the_named_bytes():
     assert [data[a:b].decode() for a, b in zip(found.start, found.end)] == ["a", "b", "x", "y", "z\x1cq", "é日", "a"]
     assert found.text.tolist() == [0, 0, 2, 2, 2, 3, 3]
     assert found.hash[0] == found.hash[-1] and len(set(found.hash.tolist())) == 6
+
+
+def test_labels_of_absent_documents_take_no_place(spark):
+    """Many labels without a document, fewer rows wanted than there are labels."""
+    docs = spark.createDataFrame([(i, f"text {i % 3} words") for i in range(50)], "doc_id bigint, text string")
+    marks = labels(spark, [(i, i % 2, 0) for i in range(5000)]).select("doc_id", F.col("quality").alias("label"))
+    assert len(sampled_rows(docs, marks, quality.features, 100)) == 50
+    twice = labels(spark, [(1, 1, 0), (1, 0, 0), (2, 1, 0)]).select("doc_id", F.col("quality").alias("label"))
+    assert sorted(sampled_rows(docs, twice, quality.features, 100).label.tolist()) == [0, 1, 1]
+
+
+def test_long_texts_do_not_shorten_the_quality_sample(spark, tables, monkeypatch):
+    """Few indicators allowed: features go, rows stay, and held-out documents are told apart."""
+    sizes = []
+    plain = quality.fit_rows
+    monkeypatch.setattr(quality, "fit_rows", lambda r: sizes.append((len(r), len(r.index))) or plain(r))
+    docs, marks = tables["documents"], tables["labels"]
+    whole = quality.fit(docs, marks)
+    few = quality.fit(docs, marks, entries=sizes[0][1] // 4)
+    assert sizes[1][0] == sizes[0][0] and 0 < sizes[1][1] <= sizes[0][1] // 4
+    found = quality.scored(docs, few).where("held_out").join(marks, "doc_id").collect()
+    right = sum(r.predicted == r.quality for r in found)
+    assert right > 0.9 * len(found)
+    monkeypatch.setattr(quality, "affordable", lambda inside, outside, entries: np.ones(len(inside), bool))
+    assert np.array_equal(quality.fit(docs, marks).weights, whole.weights)
+
+
+def test_the_most_telling_features_are_kept():
+    inside, outside = np.array([100, 50, 0, 3]), np.array([100, 1, 40, 3])
+    use = quality.affordable(inside, outside, 91)
+    assert use.tolist() == [False, True, True, False]
+    assert quality.affordable(inside, outside, 10**6).all()

@@ -25,7 +25,7 @@ from tristrata.llm.grams import (
     word_runs,
     words_of,
 )
-from tristrata.llm.sparse import Features, Rows, sampled_rows, text_sums
+from tristrata.llm.sparse import Features, Rows, class_counts, sampled_rows, text_sums
 
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.3
@@ -76,13 +76,28 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -500, 500)))
 
 
-def log_count_ratios(rows: Rows, good: np.ndarray, width: int, smoothing: float = 1.0) -> np.ndarray:
-    owner = rows.owner()
-    p = smoothing + np.bincount(rows.index[good[owner]], minlength=width)
-    q = smoothing + np.bincount(rows.index[~good[owner]], minlength=width)
+def ratios_of(inside: np.ndarray, outside: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
+    """The log ratios of features' smoothed shares among the indicators of good and of other rows."""
+    p, q = smoothing + inside, smoothing + outside
     return np.log(p / p.sum()) - np.log(q / q.sum())
 
 
+def log_count_ratios(rows: Rows, good: np.ndarray, width: int) -> np.ndarray:
+    owner = rows.owner()
+    inside = np.bincount(rows.index[good[owner]], minlength=width)
+    return ratios_of(inside, np.bincount(rows.index[~good[owner]], minlength=width))
+
+
+def affordable(inside: np.ndarray, outside: np.ndarray, entries: int) -> np.ndarray:
+    """Which features to fit on, by the rows of each class that have them: all, or where these rows have
+    more than ``entries`` indicators, the features whose log ratios are furthest from zero, as many
+    as rows have so many indicators of together. Rows are never left out."""
+    order = np.argsort(-np.abs(ratios_of(inside, outside)), kind="stable")
+    use = np.zeros(len(order), bool)
+    use[order] = np.cumsum((inside + outside)[order]) <= entries
+    return use
+
+
 def dual_descent(
     rows: Rows, scale: np.ndarray, target: np.ndarray, cost: np.ndarray, rounds: int = 12, seed: int = 7
 ) -> tuple[np.ndarray, float]:
@@ -154,9 +169,20 @@ def fit_rows(rows: Rows, cost: float = 1.0) -> Model:
 def fit(
     docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, entries: int = SAMPLE_ENTRIES
 ) -> Model:
-    """Fit on a bounded sample of the labelled documents outside the held-out fold."""
+    """Fit on ``rows`` of the labelled documents outside the held-out fold, or on all where they are fewer.
+
+    Features are counted in Spark, and the driver gets ``entries`` indicators at most: of long texts it
+    gets the more telling features alone, but of all sampled rows. Labels of absent
+    documents, null labels and an empty table leave the share of good rows as the score.
+    """
     train = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
-    return fit_rows(sampled_rows(docs, train, features, rows, entries))
+    outside, inside, *_ = class_counts(docs, train, features, rows, 1 << BITS)
+    use = affordable(inside, outside, entries)
+
+    def chosen(texts: Texts) -> Features:
+        return [(number[use[feature]], feature[use[feature]]) for number, feature in features(texts)]
+
+    return fit_rows(sampled_rows(docs, train, chosen, rows))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -46,15 +46,17 @@ def text_sums(found: Features, weights: np.ndarray, texts: int) -> np.ndarray:
 
 
 def _picked(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """``doc_id, text, _label`` of the labelled documents of the sample."""
+    """``doc_id, text, _label`` of the labelled documents of the sample; labels of documents that
+    are not there are none. A document with several labels is there once for each."""
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     picked = (
         labels.where("doc_id is not null and label is not null")
-        .select(F.col("doc_id").alias("_id"), F.col("label").cast("int").alias("_label"))
+        .select(F.col("doc_id").cast("bigint").alias("_id"), F.col("label").cast("int").alias("_label"))
+        .join(texts.select(F.col("doc_id").alias("_id")), "_id", "left_semi")
         .orderBy(F.xxhash64("_id"), "_id", "_label")
         .limit(rows)
     )
     # Bounded by ``rows``.
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     return texts.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).drop("_id")
 
 
@@ -95,11 +97,11 @@ def sampled_rows(
     labels: DataFrame,
     featurise: Featurise,
     rows: int,
-    entries: int | None,
+    entries: int | None = None,
 ) -> Rows:
     """At most ``rows`` labelled documents (``doc_id, label``; null labels are left out) in an
-    order drawn from their ids, as indicator rows on the driver; reading ends after ``entries`` indicators,
-    or without such a bound after ``rows`` rows.
+    order drawn from their ids, as indicator rows on the driver; with ``entries`` reading ends after so
+    many indicators.
 
     The ids are picked first, so only their texts are read into Python. Both bounds are
     parameters of the fit and do not depend on the size of the tables.

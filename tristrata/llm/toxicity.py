@@ -166,7 +166,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     def chosen(texts: Texts) -> Features:
         return [(number[use[feature]], feature[use[feature]]) for number, feature in features(texts)]
 
-    found = sampled_rows(docs, train, chosen, rows, None)
+    found = sampled_rows(docs, train, chosen, rows)
     return fit_rows(found, severity_grades(found))
 
 
