@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.llm.grams import slices
+from tristrata.llm.shared import ship
 
 # Fixed value: how byte-level BPE splits a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -188,8 +189,10 @@ def encoded(docs: DataFrame, tokenizer: str | Path, keep_tokens: bool = False) -
 
     ``tokenizer`` is a byte-level BPE file on the driver. Null texts count as empty and have no
     tokens. Special tokens are found in the text first. Repeated rows get equal results;
-    other columns play no part. There is no shuffle: each worker keeps a trie of its own.
+    other columns play no part. There is no shuffle: each worker keeps a trie of its own. Texts of any
+    length are encoded whole, a long one alone in its batch. An empty table gives no rows.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     if keep_tokens:

@@ -79,7 +79,7 @@ def group_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """One row per document: ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Null and empty texts are equal. Of rows that repeat a text and a doc_id, one is kept;
-    a null doc_id sorts below all others. Rows whose text an earlier batch brought are not kept.
+    a null doc_id sorts below all others. An empty table gives no rows. Rows whose text an earlier batch brought are not kept.
     Other columns of ``docs`` play no part. Adaptive skew handling spreads a large group of
     copies over tasks; no text is shuffled.
     """
@@ -126,7 +126,8 @@ def _judged(digests: DataFrame, groups: DataFrame, before: int) -> DataFrame:
 
 def without_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """The rows of ``docs`` that stay, each once and with all its columns: one row of each text
-    that the index does not have, by the rules of ``group_copies``."""
+    that the index does not have, by the rules of ``group_copies``. A load that dies after its texts
+    were indexed must be run again with a new index, as its own texts are known by then. One writer at a time."""
     row, digest = free_name(docs, "row_no"), free_name(docs, "digest")
     rows = numbered(docs, row, **{digest: digest_of(F.col("text"))})
     before = index.last_batch()

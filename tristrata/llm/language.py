@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.llm.grams import Texts, slices, texts_of
-from tristrata.llm.shared import numbered, staged
+from tristrata.llm.shared import numbered, ship, staged
 
 FOLDS, HELD_OUT = 4, 2
 ORDER = 3
@@ -168,6 +168,7 @@ def fit(docs: DataFrame) -> list[Broadcast] | None:
     """Train on all documents outside the held-out fold that have a text and a language;
     without any there is no model. All counts of all languages are kept: parts of the model, by
     ranges of languages, are built and broadcast one after another."""
+    ship(docs.sparkSession)
     rows = docs.where(
         ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull()
     ).select(F.col("text").cast("string"), F.col("lang").cast("string"))
@@ -237,10 +238,11 @@ def identified(docs: DataFrame, model: list[Broadcast] | None) -> DataFrame:
     ``score`` is the share of the predicted language when the languages' probabilities of the
     text are brought to a sum of one; ties go to the first language in code point order.
     A null text and one without a letter are ``und`` with score 0, and so is every
-    text without a model. Repeated rows get equal results; other columns play no part.
-    A model of one part, as with most tables, is one pass; otherwise each part is a pass, and
+    text without a model; an empty table gives none and no rows. Texts of any length are read whole.
+    Repeated rows get equal results; other columns play no part. A model of one part, as with most tables, is one pass; otherwise each part is a pass, and
     what they say of a row meets by its number.
     """
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     if not model:
         judged = rows.select("doc_id", F.lit(False).alias("known"), F.lit(UNKNOWN).alias("lang"), F.lit(1.0).alias("odds"))

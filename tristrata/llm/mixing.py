@@ -122,7 +122,7 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_CO
     ``taken`` is ``size`` times the number of copies that the mix takes. Null and empty texts
     have no words and are not taken; a null source is a source. Repeated rows are sampled
     like others, ties in rank broken by doc_id and size. Other columns play no part.
-    A source of any size is spread over tasks: ranks are first summed per source and
+    An empty table gives no rows; a text of any length is counted whole. A source of any size is spread over tasks: ranks are first summed per source and
     bin, which tells the bin where the target is met, and only that bin's rows are ordered.
     """
     sizes = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.lit(0).alias("row_no")))
@@ -130,7 +130,8 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_CO
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """The mix itself: each row as often as it is taken, with the columns it came with."""
+    """The mix itself: each row as often as it is taken, with the columns it came with, whatever those are
+    called; see ``mixed``."""
     row = free_name(docs, "row_no")
     rows = numbered(docs, row)
     sizes = staged(rows.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.col(row).alias("row_no")))

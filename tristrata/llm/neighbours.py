@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tristrata.llm.shared import staged
+from tristrata.llm.shared import ship, staged
 
 NEAREST = 20
 BRANCHES = 16
@@ -290,8 +290,9 @@ def nearest_neighbours(
     another length than most. A row that is there twice counts once, and rows with a query's
     own id are not among its neighbours. Equal vectors are one point of the index with its
     ``nearest + 1`` smallest ids, which is all that a result can show of them; a crowd
-    of copies is one row. Extra columns play no part.
+    of copies is one row. Extra columns play no part; an empty table gives no rows.
     """
+    ship(vectors.sparkSession)
     rows = vectors.where("vec_id is not null").where(usable(F.col("embedding"))).select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.col("embedding").cast("array<double>").alias("vec"),

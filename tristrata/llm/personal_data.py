@@ -230,7 +230,8 @@ def find(docs: DataFrame) -> DataFrame:
     ``base_sha256``, ``spans``, ``added_probability`` (the least of an added span; null without any).
 
     Spans are written ``kind:start:end``, in code points and by start and kind. A null text is an
-    empty one and has none; repeated rows get equal results. A candidate is added when the
+    empty one and has none; repeated rows get equal results; an empty table gives no rows. Texts of any
+    length are searched whole. A candidate is added when the
     classifier accepts it and it overlaps no base span; of added spans that overlap, the one that
     begins first stays, the longer of two. Other columns play no part.
     """

@@ -25,6 +25,7 @@ from tristrata.llm.grams import (
     word_runs,
     words_of,
 )
+from tristrata.llm.shared import ship
 from tristrata.llm.sparse import Features, Rows, class_counts, sampled_rows, text_sums
 
 FOLDS, HELD_OUT = 5, 0
@@ -175,6 +176,7 @@ def fit(
     gets the more telling features alone, but of all sampled rows. Labels of absent
     documents, null labels and an empty table leave the share of good rows as the score.
     """
+    ship(docs.sparkSession)
     train = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("quality").alias("label"))
     outside, inside, *_ = class_counts(docs, train, features, rows, 1 << BITS)
     use = affordable(inside, outside, entries)
@@ -189,8 +191,10 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``.
 
     Null texts count as empty; an empty text has the score of the bias alone. Repeated rows get
-    equal scores, a null doc_id is not held out. The model has a fixed size, so it is broadcast.
+    equal scores, a null doc_id is not held out; an empty table gives no rows. Texts of any length are scored
+    whole; there are no ties. The model has a fixed size, so it is broadcast.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,7 +215,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def kept(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents that are predicted good, with all their columns."""
+    """The documents that are predicted good, with all their columns, whatever those are called; see
+    ``scored``. Repeated rows stay or go together."""
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
     position = names.index("text")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.llm.components import components
-from tristrata.llm.shared import free_name, numbered, staged
+from tristrata.llm.shared import free_name, numbered, ship, staged
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -68,6 +68,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def fingerprints(docs: DataFrame, row_no: Column) -> DataFrame:
     """``doc_id, row_no, fp`` of every row, staged."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint"), row_no.alias("row_no"), F.col("text").cast("string"))
     return staged(rows.mapInArrow(_fingerprints, "doc_id bigint, row_no bigint, fp bigint"))
 
@@ -203,7 +204,9 @@ def near_copies(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS)
 
     ``component_id`` is the smallest doc_id that chains of links reach, the own one included.
     Null texts count as empty; empty texts have fingerprint zero and link like others. Rows with
-    equal fingerprints, repeated rows among them, are one node. Other columns play no part.
+    equal fingerprints, repeated rows among them, are one node. A null doc_id is larger than all; without another
+    one the component has none. Texts of any length are read whole, and an empty table gives no rows.
+    Other columns play no part.
     """
     marks = fingerprints(docs, F.lit(0).cast("bigint"))
     labels = labelled(marks, distance, blocks)
@@ -218,7 +221,7 @@ def near_copies(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS)
 
 def without_near_copies(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """The rows that stay, with all their columns: of each component the row with the smallest
-    doc_id, null last; of repeated rows one."""
+    doc_id, null last; of repeated rows one. An empty table gives no rows; columns may have any names."""
     row = free_name(docs, "row_no")
     rows = numbered(docs, row)
     marks = fingerprints(rows, F.col(row))

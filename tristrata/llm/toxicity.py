@@ -160,6 +160,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     brought to the driver, so the sample has its rows however long the texts are. With repeated ids
     in the documents the counts are those of all their rows.
     """
+    ship(docs.sparkSession)
     train = labels.where(~held_out(F.col("doc_id"))).select("doc_id", F.col("toxic").alias("label"))
     use = _far_apart(*class_counts(docs, train, features, rows, 1 << BITS))
 
@@ -176,8 +177,10 @@ def graded(docs: DataFrame, model: Model) -> DataFrame:
     ``score`` is the probability of any toxicity, ``severity`` the expected grade, ``grade``
     the most likely one and ``predicted`` 1 where ``score`` is at least a half. Null texts
     count as empty; an empty text gets what the thresholds alone say. Repeated rows get
-    equal results. The model has a fixed size, so it is broadcast.
+    equal results; an empty table gives no rows. Of equally likely grades the lowest is given. Texts of any
+    length are scored whole. The model has a fixed size, so it is broadcast.
     """
+    ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
