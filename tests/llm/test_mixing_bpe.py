@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute, odd
 from tristrata.llm import bpe, mixing
+from tristrata.llm.shared import NumberedRows
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -129,3 +130,41 @@ def test_sizes_count_words_as_named(spark):
     text = "a\x1cb c d\te"
     df = spark.createDataFrame([(text,)], "text string").select(mixing.n_words(F.col("text")).alias("n"))
     assert df.first().n == len(brute.words(text)) == 3
+
+
+def test_rows_that_share_an_id_are_sampled_one_by_one(spark):
+    """A third of a source's rows without an id, others under one id: about as many are taken twice as of the rest."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} of ten words " + "w " * 5, "en", "a", 0) for i in range(900)]
+    rows += [(10_000 + i, "w " * 30, "en", "b", 0) for i in range(900)]
+    found = [r for r in mixing.mixed(odd.documents(spark, rows)).collect() if r.size == 10]
+    share = lambda own: sum(r.taken > r.size for r in own) / len(own)
+    parts = [share([r for r in found if r.doc_id is None]), share([r for r in found if r.doc_id == 7])]
+    assert len(found) == 900 and 0.2 < share(found) < 0.8 or share(found) in (0, 1)
+    assert all(abs(p - share(found)) < 0.1 for p in parts)
+
+
+@pytest.mark.parametrize("most", [1, 3, 5])
+def test_numbered_rows_are_taken_as_often_as_said(spark, most):
+    """Rows of many and of few partitions, some of them empty, with columns of the names that are used within."""
+    docs = spark.range(0, 1000, 1, 7).selectExpr("id as doc_id", "id as told", "id as row_no", "id as times", "id as part_no")
+    docs = docs.union(docs.where("doc_id < 0")).union(docs.where("doc_id % 200 = 3"))
+    rows = NumberedRows(docs)
+    given = rows.frame.select(F.col(rows.row).alias("row"), (F.col("doc_id") % (most + 1)).alias("times"))
+    taken = rows.taken(given.where("times > 0"), most)
+    got = sorted((r[0], r[-1]) for r in taken.collect())
+    want = sorted((r.doc_id, r.doc_id % (most + 1)) for r in docs.collect() if r.doc_id % (most + 1))
+    assert got == want and taken.columns[:-1] == docs.columns
+    assert rows.taken(given.where("false")).count() == 0
+
+
+def test_whole_rows_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = NumberedRows(odd.documents(spark))
+        times = rows.frame.select(F.col(rows.row).alias("row"), F.lit(1).alias("times"))
+        plan = rows.taken(times)._jdf.queryExecution().executedPlan().toString()
+        join = plan[plan.index("ShuffledHashJoin") :]
+        streamed = join[: join.index("FileScan")]
+        assert "Exchange" not in streamed and "Sort" not in streamed
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

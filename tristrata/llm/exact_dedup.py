@@ -12,7 +12,7 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tristrata.llm.shared import free_name, numbered
+from tristrata.llm.shared import NumberedRows, free_name, numbered
 
 INDEX_SCHEMA = "digest binary, keep_id bigint, keep_row bigint, group_size bigint, batch int"
 
@@ -128,10 +128,14 @@ def without_copies(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """The rows of ``docs`` that stay, each once and with all its columns: one row of each text
     that the index does not have, by the rules of ``group_copies``. A load that dies after its texts
     were indexed must be run again with a new index, as its own texts are known by then. One writer at a time."""
-    row, digest = free_name(docs, "row_no"), free_name(docs, "digest")
-    rows = numbered(docs, row, **{digest: digest_of(F.col("text"))})
+    digest = free_name(docs, "digest")
+    rows = NumberedRows(docs, **{digest: digest_of(F.col("text"))})
     before = index.last_batch()
-    index.add(rows.select(F.col("doc_id").cast("bigint"), F.col(digest).alias("digest"), F.col(row).alias("row_no")))
+    index.add(
+        rows.frame.select(
+            F.col("doc_id").cast("bigint"), F.col(digest).alias("digest"), F.col(rows.row).alias("row_no")
+        )
+    )
     fresh = index.entries().where(F.col("batch") > before)
-    keep = fresh.select(F.col("keep_row").alias(row))
-    return rows.join(keep, row, "left_semi").select(*docs.columns)
+    keep = fresh.select(F.col("keep_row").alias("row"), F.lit(1).alias("times"))
+    return rows.taken(keep).select(*docs.columns)

@@ -2,7 +2,7 @@
 
 A source that is to fill ``f`` times its own words gets ``floor(f)`` whole copies of each
 document for certain. For the rest, every document has the inclusion probability
-``p = f - floor(f)`` and a fixed uniform number ``u`` drawn from its id; documents
+``p = f - floor(f)`` and a fixed uniform number ``u`` drawn from its id and text; documents
 are ranked by ``(u / (1 - u)) / (p / (1 - p))`` and taken in that order until the source's
 target is met as nearly as whole documents can meet it.
 """
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tristrata.llm.shared import free_name, numbered, staged
+from tristrata.llm.shared import NumberedRows, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Weights of the sources in code point order, repeating, and the most copies.
@@ -61,14 +61,16 @@ def source_targets(
     )
 
 
-def uniform(doc_id: Column) -> Column:
-    """A number strictly between 0 and 1, the same in every run."""
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit(""))), 1, 12)
+def uniform(doc_id: Column, text: Column) -> Column:
+    """A number strictly between 0 and 1, the same in every run. Rows that share an id, or have none, draw
+    by their texts as well."""
+    drawn = F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.md5(F.coalesce(text, F.lit(""))))
+    digits = F.substring(F.md5(drawn), 1, 12)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
 def _planned(sizes: DataFrame, weights: Sequence[int], most: int, table_rows: int) -> DataFrame:
-    """The columns of ``sizes`` (``doc_id, source, size, row_no``) with ``source_size, target, taken``."""
+    """The columns of ``sizes`` with ``source_size, target, taken``."""
     targets = staged(source_targets(sizes, weights, most))
     few = targets.limit(table_rows + 1).count() <= table_rows
     key = sizes["source"].eqNullSafe(targets["source"])
@@ -78,7 +80,7 @@ def _planned(sizes: DataFrame, weights: Sequence[int], most: int, table_rows: in
     copies = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most))))
     sure = F.floor(F.coalesce(copies, F.lit(0.0)))
     chance = F.coalesce(copies, F.lit(0.0)) - sure
-    u = uniform(F.col("doc_id"))
+    u = F.col("u")
     odds = (u / (1.0 - u)) / (F.col("chance") / (1.0 - F.col("chance")))
     ranked = met.select("*", sure.alias("sure"), chance.alias("chance")).withColumn(
         "rank", F.when((F.col("chance") > 0) & (F.col("size") > 0), odds)
@@ -125,18 +127,26 @@ def mixed(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_CO
     An empty table gives no rows; a text of any length is counted whole. A source of any size is spread over tasks: ranks are first summed per source and
     bin, which tells the bin where the target is met, and only that bin's rows are ordered.
     """
-    sizes = staged(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.lit(0).alias("row_no")))
+    sizes = _sizes(docs, F.lit(0))
     return _planned(sizes, weights, most, TABLE_ROWS).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def _sizes(docs: DataFrame, row_no: Column) -> DataFrame:
+    """What the mix is planned by, staged: ``doc_id, source, size, u, row_no``."""
+    text = F.col("text").cast("string")
+    return staged(
+        docs.select(
+            "doc_id", "source", n_words(text).alias("size"), uniform(F.col("doc_id"), text).alias("u"), row_no.alias("row_no")
+        )
+    )
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """The mix itself: each row as often as it is taken, with the columns it came with, whatever those are
     called; see ``mixed``."""
-    row = free_name(docs, "row_no")
-    rows = numbered(docs, row)
-    sizes = staged(rows.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.col(row).alias("row_no")))
-    plan = _planned(sizes, weights, most, TABLE_ROWS).where("taken > 0")
-    times = free_name(docs, "times")
-    taken = plan.select(F.col("row_no").alias(row), (F.col("taken") / F.col("size")).cast("int").alias(times))
-    again = rows.join(taken, row).withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
-    return again.select(*docs.columns)
+    rows = NumberedRows(docs)
+    plan = _planned(_sizes(rows.frame, F.col(rows.row)), weights, most, TABLE_ROWS).where("taken > 0")
+    times = plan.select(F.col("row_no").alias("row"), (F.col("taken") / F.col("size")).cast("int").alias("times"))
+    taken = rows.taken(times, most)
+    again = F.explode(F.sequence(F.lit(1), F.col(taken.columns[-1])))
+    return taken.withColumn(taken.columns[-1], again).select(*docs.columns)

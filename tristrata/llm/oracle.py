@@ -25,7 +25,8 @@ ORACLE: dict[str, str] = {
             sha256(coalesce(kept, '')) AS kept_sha256
         FROM docs LEFT JOIN kept USING (doc_id)""",
     "op5_mixing": f"""
-        WITH sizes AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size FROM documents),
+        WITH sizes AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
+            md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS drawn FROM documents),
         sums AS (
             SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source),
         weighed AS (
@@ -47,7 +48,7 @@ ORACLE: dict[str, str] = {
         copies AS (
             SELECT s.*, source_size, target, CASE WHEN source_size > 0
                 THEN least(target / source_size, 3.0::DOUBLE) ELSE 0.0::DOUBLE END AS times,
-                (CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) + 0.5::DOUBLE)
+                (CAST('0x' || substr(drawn, 1, 12) AS BIGINT) + 0.5::DOUBLE)
                     / 281474976710656.0::DOUBLE AS u
             FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
         ranked AS (

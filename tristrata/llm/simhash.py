@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tristrata.llm.components import components
-from tristrata.llm.shared import free_name, numbered, ship, staged
+from tristrata.llm.shared import NumberedRows, ship, staged
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -222,11 +222,10 @@ def near_copies(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS)
 def without_near_copies(docs: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
     """The rows that stay, with all their columns: of each component the row with the smallest
     doc_id, null last; of repeated rows one. An empty table gives no rows; columns may have any names."""
-    row = free_name(docs, "row_no")
-    rows = numbered(docs, row)
-    marks = fingerprints(rows, F.col(row))
+    rows = NumberedRows(docs)
+    marks = fingerprints(rows.frame, F.col(rows.row))
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_no")).alias("kept")
     by_mark = marks.groupBy("fp").agg(least)
     by_label = by_mark.join(labelled(marks, distance, blocks), "fp").groupBy("label").agg(F.min("kept").alias("kept"))
-    keep = by_label.select(F.col("kept.row_no").alias(row))
-    return rows.join(keep, row, "left_semi").select(*docs.columns)
+    keep = by_label.select(F.col("kept.row_no").alias("row"), F.lit(1).alias("times"))
+    return rows.taken(keep).select(*docs.columns)
