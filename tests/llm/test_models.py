@@ -268,3 +268,18 @@ def test_the_most_telling_features_are_kept():
     use = quality.affordable(inside, outside, 91)
     assert use.tolist() == [False, True, True, False]
     assert quality.affordable(inside, outside, 10**6).all()
+
+
+@pytest.mark.parametrize("room, letters", [(500, 100), (3_000, 10**6)])
+def test_shards_of_a_language_agree_with_the_whole(spark, tables, monkeypatch, room, letters):
+    """Languages of which some or all are dealt into shards."""
+    docs = tables["documents"].limit(60).withColumn("text", F.substring("text", 1, letters))
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    whole = language.fit(docs)
+    monkeypatch.setattr(language, "SHARD_COUNTS", room)
+    parts = language.fit(docs)
+    assert len(whole) == 1 and len(parts) > 2 and any(p.value.is_shard for p in parts)
+    assert all(len(t.grams[3]) < 3 * language.SHARD_COUNTS for p in parts for t in p.value.trees)
+    a, b = (sorted(language.identified(docs, m).collect()) for m in (whole, parts))
+    assert [r[:3] for r in a] == [r[:3] for r in b]
+    assert np.allclose([r.score for r in a], [r.score for r in b], rtol=1e-6)
