@@ -8,6 +8,7 @@ from tristrata.sources.tables import (
     Written,
     create_layers,
     drop_table,
+    load_settings,
     readable_rows,
     recorded,
     settle,
@@ -23,6 +24,7 @@ __all__ = [
     "Written",
     "create_layers",
     "drop_table",
+    "load_settings",
     "mapping_sheet",
     "read_csv",
     "read_mapping_sheet",
