@@ -52,6 +52,7 @@ from tristrata.sources import (
     Layers,
     Layout,
     create_layers,
+    load_settings,
     mapping_sheet,
     read_csv,
     read_mapping_sheet,
@@ -79,13 +80,13 @@ def as_csv(spark: SparkSession, df: DataFrame, name: str, **options) -> str:
     return place
 
 
-def untimed(df: DataFrame) -> DataFrame:
 def coarse_keys(spark: SparkSession) -> None:
     """Let joins share one shuffle by the keys that they have in common, as a load does; for plans that run
     after their query has returned."""
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
+def untimed(df: DataFrame) -> DataFrame:
     return df.drop("created_timestamp", "updated_timestamp")
 
 
@@ -504,6 +505,7 @@ def dim_key_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fact_inventory(spark: SparkSession, folder: str) -> DataFrame:
+    coarse_keys(spark)
     return untimed(
         facts.inventory(*bind(spark, folder, "mchb", "mard", "mbew", "mslb"), as_of=AS_OF)
     )
@@ -511,11 +513,13 @@ def fact_inventory(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def fact_month_end(spark: SparkSession, folder: str) -> DataFrame:
+    coarse_keys(spark)
     return untimed(facts.month_end_stock(*bind(spark, folder, "mchbh", "mardh", "mbewh")))
 
 
 @query
 def fact_monthly_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    coarse_keys(spark)
     month_end = facts.month_end_stock(*bind(spark, folder, "mchbh", "mardh", "mbewh"))
     return untimed(facts.monthly_snapshot(month_end))
 
@@ -527,11 +531,12 @@ def delivered_qty(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def po_fact(spark: SparkSession, folder: str) -> DataFrame:
-    headers, items, schedule, history, *names = bind(
+    coarse_keys(spark)
+    headers, records, schedule, history, *names = bind(
         spark, folder, "ekko", "ekpo_raw", "eket", "ekbe", "vendors", "t001", "t001w", "t024", "t024e"
     )
-    items = keep_latest(items, ["EBELN", "EBELP"], ["MATNR"])
-    return untimed(facts.purchase_order(headers, items, schedule, history, *names))
+    items = keep_latest(records, ["EBELN", "EBELP"], ["MATNR"])
+    return untimed(facts.purchase_order(headers, items, schedule, history, *names, item_keys_from=records))
 
 
 @query
@@ -846,8 +851,9 @@ def written_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The same of stored facts, by the rows that were counted at the write."""
     layers = _layers(spark, "written_summary")
     built = {"fact_inventory": fact_inventory, "fact_purchase_order": po_fact}
-    for name, build in built.items():
-        store(build(spark, folder), f"{layers.gold}.{name}")
+    with load_settings(spark):
+        for name, build in built.items():
+            store(build(spark, folder), f"{layers.gold}.{name}")
     sources = {n: lambda n=n: spark.table(f"{layers.gold}.{n}") for n in (*built, "fact_absent")}
     known = fact_summary(spark, sources, lambda n: recorded(spark, f"{layers.gold}.{n}").rows)
     return known.withColumn("status", F.split("status", ":")[0])

@@ -10,7 +10,7 @@ from pyspark.sql.types import MapType
 
 from tristrata.functions.text import quoted
 from tristrata.operators.schema import find_column
-from tristrata.operators.skew import COUNT, KeyCounts, SkewPolicy, estimated_bytes
+from tristrata.operators.skew import COUNT, KeyCounts, SkewPolicy, estimated_bytes, measured_bytes
 
 _LEFT_FAN, _RIGHT_FAN = "__left_fan", "__right_fan"
 _LEFT_SALT, _RIGHT_SALT, _HIT = "__left_salt", "__right_salt", "__hit"
@@ -27,6 +27,7 @@ def attach(
     left_unique: bool = False,
     right_keys_from: DataFrame | None = None,
     counts: KeyCounts | None = None,
+    measured: bool = False,
 ) -> DataFrame:
     """Join ``right`` to ``left`` on equally named keys; ``how`` is left or inner.
 
@@ -42,6 +43,8 @@ def attach(
     ``unique`` says that the right side has about one row per key, being grouped or cleansed by it,
     and ``left_unique`` the same of the left side; such a side needs no counting. ``counts``
     is shared by the joins of one plan, so that none counts what another has counted.
+    ``measured`` is for a right side that costs little to run and may be smaller than Spark's estimate:
+    it is measured by one pass then, and broadcast if it is within the limit.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"cannot attach with a {how} join")
@@ -55,6 +58,8 @@ def attach(
         limit = _bytes(left.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
     if estimated_bytes(right) <= limit:
         return left.join(right, keys, how)
+    if measured and limit > 0 and measured_bytes(right) <= limit:
+        return left.join(F.broadcast(right), keys, how)
 
     counts = counts or KeyCounts()
     hot_left = None if left_unique else counts.hot(left if keys_from is None else keys_from, keys, policy)

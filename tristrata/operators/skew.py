@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tristrata.functions.text import quoted
 
@@ -45,6 +46,13 @@ def estimated_bytes(df: DataFrame) -> int:
         return UNKNOWN_BYTES
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """About what a frame takes up as rows, by one pass over it: Spark's estimate knows no filter and no distinct."""
+    texts = [F.coalesce(F.octet_length(quoted(f.name)), F.lit(0)) for f in df.schema.fields if f.dataType == StringType()]
+    size = sum(texts, F.lit(16 + 16 * len(df.columns)))
+    return df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+
+
 def _candidates(df: DataFrame, hashed: Column, policy: SkewPolicy) -> list[int]:
     """Hashes of keys that may have more than ``rows_per_task`` rows; none that has is missing.
 

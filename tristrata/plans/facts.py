@@ -326,14 +326,16 @@ def _looked_up(
     policy: SkewPolicy,
     keyed: Keyed,
     counts: KeyCounts,
+    keys_from: DataFrame,
 ) -> tuple[DataFrame, bool]:
     """A table with the names of its codes (table, frame, layout, code), and whether it still has one row
-    where it had one: a table of names that is not unique by its code repeats rows."""
+    where it had one: a table of names that is not unique by its code repeats rows. Names are mostly few."""
     out = base
     for table, side, layout, key in names:
         single = is_unique(table, layout, [key], keyed)
         out = attach(
-            out, project(side, layout), [key], policy=policy, keys_from=base, unique=single, counts=counts
+            out, project(side, layout), [key], policy=policy, keys_from=keys_from, unique=single,
+            counts=counts, measured=True,
         )
         unique = unique and single
     return out, unique
@@ -352,16 +354,19 @@ def purchase_order(
     as_of: datetime | None = None,
     policy: SkewPolicy = SkewPolicy(),
     keyed: Keyed = KEYED,
+    item_keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Order items by schedule line, with names and goods received.
 
     Each name is looked up at the grain that owns its code: header names on the
     headers, item names on the items, before either is multiplied by the join with
     the other. Deliveries are summed before they are joined, and the schedule, the
-    one side that adds rows, comes last.
+    one side that adds rows, comes last. ``item_keys_from`` has the items' columns and is cheaper
+    to count than ``items``, such as the table before repeated records are dropped.
     """
     counts = KeyCounts()
     header, item = project(headers, ORDER_HEADER), project(items, ORDER_ITEM)
+    item_keys = item if item_keys_from is None else project(item_keys_from, ORDER_ITEM)
     named, one_header = _looked_up(
         header,
         is_unique("ekko", ORDER_HEADER, ["purchase_order"], keyed),
@@ -370,26 +375,26 @@ def purchase_order(
             ("t024", groups, GROUP_NAME, "purchasing_group"),
             ("t024e", orgs, ORG_NAME, "purchasing_org"),
         ),
-        policy, keyed, counts,
+        policy, keyed, counts, header,
     )
     placed, one_item = _looked_up(
         item,
         is_unique("ekpo", ORDER_ITEM, ITEM_KEYS, keyed),
         (("t001", companies, COMPANY_NAME, "company"), ("t001w", plants, PLANT_NAME, "plant")),
-        policy, keyed, counts,
+        policy, keyed, counts, item_keys,
     )
     lines = attach(
         placed, named, ["purchase_order"], "inner", policy,
-        keys_from=item, unique=one_header, right_keys_from=header, counts=counts,
+        keys_from=item_keys, unique=one_header, right_keys_from=header, counts=counts,
     )
     one_line = one_header and one_item
     lines = attach(
         lines, delivered(history), ITEM_KEYS, policy=policy,
-        keys_from=item, left_unique=one_line, unique=True, counts=counts,
+        keys_from=item_keys, left_unique=one_line, unique=True, counts=counts,
     )
     lines = attach(
         lines, project(schedule, SCHEDULE_LINE), ITEM_KEYS, policy=policy,
-        keys_from=item, left_unique=one_line, counts=counts,
+        keys_from=item_keys, left_unique=one_line, counts=counts,
     )
     received = {
         "delivered_qty": F.coalesce("delivered_qty", F.lit(0)).cast("decimal(15,3)"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tristrata.operators.schema import measure_columns
 from tristrata.plans.outcomes import FAILED, SUCCESS
+from tristrata.sources.tables import load_settings
 
 Source = Callable[[], DataFrame]
 # A table's rows where they are known, such as from the write.
@@ -29,7 +30,7 @@ def _measure_all(
     spark: SparkSession, sources: Mapping[str, Source], known: Known | None, parallel: int = 4
 ) -> list[tuple]:
     """Several tables at a time, in the given order."""
-    with ThreadPoolExecutor(max_workers=parallel) as pool:
+    with load_settings(spark), ThreadPoolExecutor(max_workers=parallel) as pool:
         running = [
             pool.submit(inheritable_thread_target(spark)(_measure), n, s, known)
             for n, s in sources.items()
