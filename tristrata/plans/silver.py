@@ -76,6 +76,12 @@ STOCK_KEYS = {
 }
 
 
+def stock_buckets_for(rows: int, rows_per_bucket: int = 400_000) -> int:
+    """The number of buckets for stock tables, the largest of which has so many rows, so that a task's share of the
+    joins does not grow with the tables: more tables mean more tasks."""
+    return max(8, -(-rows // rows_per_bucket))
+
+
 def stock_layouts(buckets: int) -> dict[str, Layout]:
     """Stock tables in sorted buckets by material and plant: in a session where joins may share partitions on
     part of their keys (``spark.sql.requireAllClusterKeysForCoPartition=false``) the stock facts then join
