@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from checks.bindings import bind, bind_demand, demand_rows
 from checks.queries import QUERIES
 from checks.scratch import shared_folder
 from tristrata.operators import attach
@@ -174,3 +175,13 @@ def test_extracts_of_the_registry_are_packed(spark, folder):
     place = Path(re.sub("^file:", "", shared_folder(spark, "registry_run")))
     files = list(place.rglob("*.csv/part-*"))
     assert len(files) >= 43 and all(f.name.endswith(".csv.gz") for f in files)
+
+
+def test_demand_is_worked_out_once(spark, folder):
+    rows = demand_rows(spark, folder)
+    rows.write.parquet(f"{folder}/demand_rows")
+    staged = spark.read.parquet(f"{folder}/demand_rows")
+    for name in ("demand_actual", "demand_forecast"):
+        mine, whole = bind_demand(spark, name, staged), bind(spark, folder, name)[0]
+        assert not re.search("Join|Aggregate", plan_of(mine)) and mine.dtypes == whole.dtypes
+        assert sorted(mine.collect(), key=str) == sorted(whole.collect(), key=str) and mine.count() > 0
