@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from checks.bindings import bind, bind_demand, demand_rows
 from checks.queries import QUERIES
 from checks.scratch import shared_folder
-from tristrata.operators import attach
+from tristrata.operators import SkewPolicy, attach, hot_keys, skew
 from tristrata.operators.skew import measured_bytes
 from tristrata.plans import facts
 from tristrata.plans.outcomes import attempt_all
@@ -185,3 +185,20 @@ def test_demand_is_worked_out_once(spark, folder):
         mine, whole = bind_demand(spark, name, staged), bind(spark, folder, name)[0]
         assert not re.search("Join|Aggregate", plan_of(mine)) and mine.dtypes == whole.dtypes
         assert sorted(mine.collect(), key=str) == sorted(whole.collect(), key=str) and mine.count() > 0
+
+
+def test_keys_are_sketched_only_in_crowded_groups(spark, monkeypatch):
+    ids = spark.range(20_000)
+    assert hot_keys(ids, ["id"], SkewPolicy(rows_per_task=2)) is None  # all groups are crowded, no key is hot
+    mixed = ids.select(F.when(F.col("id") < 700, -1).otherwise(F.col("id")).alias("k"))
+    assert hot_keys(mixed, ["k"], SkewPolicy(rows_per_task=600)).collect() == [(-1, 700)]
+    nulls = ids.select(F.when(F.col("id") >= 700, F.col("id")).alias("k"))
+    assert hot_keys(nulls, ["k"], SkewPolicy(rows_per_task=600)).collect() == [(None, 700)]
+
+    def fail(*args):
+        raise AssertionError("sketched")
+
+    monkeypatch.setattr(skew.F, "expr", fail)
+    assert hot_keys(mixed, ["k"], SkewPolicy(rows_per_task=5000)) is None
+    with pytest.raises(AssertionError, match="sketched"):
+        hot_keys(mixed, ["k"], SkewPolicy(rows_per_task=600))
